@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendloom.operators import board as D
 from trendloom.operators import brands as B
+from trendloom.operators import clean as K
+from trendloom.operators import ingest as G
 from trendloom.operators import series as S
 from trendloom.operators import sentiment as C
 from trendloom.operators import trends as R
 from trendloom.operators import windows as W
+from trendloom.sources import store as T
 
 from . import oracle as O
 from . import views as V
@@ -230,3 +234,303 @@ def flagship(spark, sf):
     """Trend scores of the newest window, in score order."""
     stats = R.category_trends(V.posts(spark, sf), _anchor(spark, sf))
     return R.in_score_order(stats.filter(F.col("window_id") == 0))
+
+
+# --- dashboard queries ------------------------------------------------------
+
+
+def _stats(spark, sf):
+    return R.category_trends(V.posts(spark, sf), _anchor(spark, sf))
+
+
+def _newest(spark, sf):
+    return D.select_window(_stats(spark, sf))
+
+
+@register(
+    "select_window",
+    O.sql(
+        """SELECT s.window_id, category, trend_score FROM stats s JOIN windows w USING (window_id)
+        WHERE strftime(cur_start, '%m/%d') || '–' || strftime(cur_end, '%m/%d') =
+          (SELECT strftime(cur_start, '%m/%d') || '–' || strftime(cur_end, '%m/%d') FROM windows WHERE window_id = 1)""",
+        "stats", "windows",
+    ),
+)
+def select_window(spark, sf):
+    windows = W.biweekly_windows(V.events(spark, sf), ts="ts")
+    label = windows.filter("window_id = 1").first()["window_label"]
+    return D.select_window(_stats(spark, sf), windows, label).select("window_id", "category", "trend_score")
+
+
+@register(
+    "filter_directions",
+    O.sql(
+        "SELECT window_id, category, trend_direction FROM stats WHERE trend_direction IN ('rising', 'declining')",
+        "stats",
+    ),
+)
+def filter_directions(spark, sf):
+    return D.filter_directions(_stats(spark, sf), ["rising", "declining"]).select(
+        "window_id", "category", "trend_direction"
+    )
+
+
+@register(
+    "trend_direction_kpis",
+    O.sql(
+        "SELECT count(*) AS active_categories, "
+        + ", ".join(
+            f"count(*) FILTER (trend_direction = '{d}') AS {d}_n, "
+            + O.rnd(f"count(*) FILTER (trend_direction = '{d}') / count(*)", 4) + f" AS {d}_share"
+            for d in ("rising", "stable", "declining")
+        )
+        + " FROM newest",
+        "newest",
+    ),
+)
+def trend_direction_kpis(spark, sf):
+    return D.direction_kpis(_newest(spark, sf))
+
+
+@register(
+    "top_categories",
+    O.sql("SELECT category, trend_score FROM newest ORDER BY trend_score DESC, category LIMIT 10", "newest"),
+)
+def top_categories(spark, sf):
+    return D.top_categories(_newest(spark, sf), 10).select("category", "trend_score")
+
+
+@register(
+    "quadrants",
+    O.sql(
+        """SELECT category, normalized_spike, cross_community,
+        CASE WHEN normalized_spike >= 0.5 AND cross_community >= 0.5 THEN 'high_priority'
+          WHEN cross_community >= 0.5 THEN 'broad_low_heat' WHEN normalized_spike >= 0.5 THEN 'local_spike'
+          ELSE 'low_priority' END AS quadrant FROM newest""",
+        "newest",
+    ),
+)
+def quadrants(spark, sf):
+    return D.with_quadrant(_newest(spark, sf)).select(
+        "category", "normalized_spike", "cross_community", "quadrant"
+    )
+
+
+_BOARD = """(SELECT *, row_number() OVER (ORDER BY normalized_spike DESC, trend_score DESC, category) AS position
+  FROM newest QUALIFY position <= 6)"""
+
+
+@register(
+    "spike_board",
+    O.sql(f"SELECT position, category, normalized_spike, spike_ratio, current_mentions FROM {_BOARD}", "newest"),
+)
+def spike_board(spark, sf):
+    return D.spike_board(_newest(spark, sf)).select(
+        "position", "category", "normalized_spike", "spike_ratio", "current_mentions"
+    )
+
+
+@register(
+    "spike_board_brands",
+    O.sql(
+        f"""SELECT position, category, rank, brand, cur_mentions, prev_mentions
+        FROM {_BOARD} JOIN brands USING (window_id, category) WHERE rank <= 10""",
+        "newest", "brands",
+    ),
+)
+def spike_board_brands(spark, sf):
+    return D.spike_board_brands(_newest(spark, sf), _brands(spark, sf))
+
+
+@register(
+    "category_card",
+    O.sql(
+        f"""SELECT category, trend_score, trend_direction, spike_ratio, current_mentions, {_o6('mean_sentiment')},
+        CASE WHEN mean_sentiment >= 0.05 THEN 'positive' WHEN mean_sentiment >= -0.05 THEN 'neutral'
+          ELSE 'negative' END AS sentiment_word, eng_momentum, current_communities
+        FROM newest ORDER BY trend_score DESC, category LIMIT 1""",
+        "newest",
+    ),
+)
+def category_card(spark, sf):
+    card = D.category_card(_newest(spark, sf))
+    return card.withColumn("mean_sentiment", *_r6("mean_sentiment"))
+
+
+@register(
+    "brand_panel",
+    O.sql(
+        f"""SELECT category, rank, brand, cur_mentions, prev_mentions, avg_sentiment,
+        CASE WHEN avg_sentiment >= 0.05 THEN 'pos' WHEN avg_sentiment <= -0.05 THEN 'neg' ELSE 'neu' END AS sentiment_class,
+        {O.rnd('cur_mentions / CASE prev_mentions WHEN 0 THEN 1 ELSE prev_mentions END', 2)} AS b_spike
+        FROM brands WHERE window_id = 0 AND rank <= 15""",
+        "brands",
+    ),
+)
+def brand_panel(spark, sf):
+    return D.brand_panel(D.select_window(_brands(spark, sf)))
+
+
+@register(
+    "brand_deltas",
+    O.sql(
+        """SELECT category, brand, cur_mentions, prev_mentions, cur_mentions - prev_mentions AS delta,
+        CASE WHEN cur_mentions > prev_mentions THEN 'rising' ELSE 'declining' END AS delta_class
+        FROM brands WHERE window_id = 0 AND rank <= 15""",
+        "brands",
+    ),
+)
+def brand_deltas(spark, sf):
+    return D.brand_deltas(D.select_window(_brands(spark, sf)))
+
+
+@register(
+    "post_preview",
+    O.sql(
+        """SELECT category, rank::INTEGER AS position, title, community, engagement_score, sentiment_label, url
+        FROM samples WHERE window_id = 0 AND rank <= 4""",
+        "samples",
+    ),
+)
+def post_preview(spark, sf):
+    samples = S.sample_posts(V.posts(spark, sf, ["title", "url"]), _anchor(spark, sf))
+    return D.post_preview(D.select_window(S.sample_post_lists(samples)))
+
+
+@register(
+    "summary_table",
+    O.sql(
+        f"""SELECT category, trend_direction, trend_score, spike_ratio, current_mentions, {_o6('mean_sentiment')},
+        CASE WHEN mean_sentiment >= 0.05 THEN 'pos' WHEN mean_sentiment <= -0.05 THEN 'neg' ELSE 'neu' END AS sentiment_class,
+        abs(mentions_delta) AS delta_size, CASE WHEN mentions_delta >= 0 THEN 'up' ELSE 'down' END AS delta_direction
+        FROM newest ORDER BY trend_score DESC, category LIMIT 20""",
+        "newest",
+    ),
+)
+def summary_table(spark, sf):
+    out = D.summary_table(_newest(spark, sf))
+    return out.withColumn("mean_sentiment", *_r6("mean_sentiment"))
+
+
+# --- cleaning and ingest ----------------------------------------------------
+
+_FIRST = "QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY collected_at, event_id) = 1"
+_ORDER = ["collected_at", "event_id"]
+_NER = O.strip("title || '. ' || left(coalesce(text, ''), 400)")
+
+
+@register("dedup_mentions", O.sql(f"SELECT mention_id, event_id, category FROM collected {_FIRST}", "collected"))
+def dedup_mentions(spark, sf):
+    return K.dedup_mentions(V.collected(spark, sf), _ORDER).select("mention_id", "event_id", "category")
+
+
+@register(
+    "clean_mentions",
+    O.sql(
+        f"""SELECT mention_id, event_id, category, title, coalesce(text, '') AS text, {_NER} AS ner_input
+        FROM (SELECT * FROM collected {_FIRST}) WHERE length({_NER}) >= 10""",
+        "collected",
+    ),
+)
+def clean_mentions(spark, sf):
+    return K.clean_mentions(V.collected(spark, sf), order=_ORDER).select(
+        "mention_id", "event_id", "category", "title", "text", "ner_input"
+    )
+
+
+@register(
+    "clean_report",
+    O.sql(
+        f"""SELECT (SELECT count(*) FROM collected) AS raw_rows, count(*) AS deduped_rows,
+        count(*) FILTER (length({_NER}) >= 10) AS kept_rows FROM (SELECT * FROM collected {_FIRST})""",
+        "collected",
+    ),
+)
+def clean_report(spark, sf):
+    return K.clean_report(V.collected(spark, sf), order=_ORDER)
+
+
+@register("stable_hash", O.sql("SELECT mention_id, published_at::VARCHAR AS at FROM mentions", "mentions"))
+def stable_hash(spark, sf):
+    m = V.mentions(spark, sf)
+    # DuckDB prints the shortest fraction, as the cast to string does here
+    return m.select("mention_id", F.col("published_at").cast("string").alias("at"))
+
+
+_CUT = "2024-01-15"
+
+
+@register(
+    "incremental_ingest",
+    O.sql(
+        f"""SELECT mention_id, event_id FROM (SELECT * FROM collected WHERE published_at >= '{_CUT}' {_FIRST})
+        WHERE mention_id NOT IN (SELECT mention_id FROM collected WHERE published_at < '{_CUT}')""",
+        "collected",
+    ),
+)
+def incremental_ingest(spark, sf):
+    rows = V.collected(spark, sf)
+    cut = F.to_timestamp(F.lit(_CUT))
+    return G.ingest_new(
+        rows.filter(F.col("published_at") >= cut), rows.filter(F.col("published_at") < cut), _ORDER
+    ).select("mention_id", "event_id")
+
+
+@register(
+    "append_mentions",
+    O.sql(
+        "SELECT mention_id, count(*) AS copies FROM collected GROUP BY 1",
+        "collected",
+    ),
+)
+def append_mentions(spark, sf):
+    """Two appends to one store, read back."""
+    rows = V.collected(spark, sf)
+    cut = F.to_timestamp(F.lit(_CUT))
+    path = V.scratch(spark) + "/mentions"
+    for part in (rows.filter(F.col("published_at") < cut), rows.filter(F.col("published_at") >= cut)):
+        T.append_mentions(_as_mentions(part), path)
+    stored = spark.read.parquet(path)
+    return stored.groupBy("mention_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _as_mentions(part):
+    """The rows in the stored schema, with the ids they have."""
+    from trendloom.schema import MENTIONS
+
+    given = set(part.columns)
+    return part.select(
+        *[
+            (F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in MENTIONS.fields
+        ]
+    )
+
+
+@register(
+    "ingest_summary",
+    O.sql(
+        """SELECT source, community, n AS new_rows,
+        sum(n) OVER (PARTITION BY source ORDER BY community)::BIGINT AS running_total
+        FROM (SELECT source, community, count(*) AS n FROM collected GROUP BY ALL)""",
+        "collected",
+    ),
+)
+def ingest_summary(spark, sf):
+    return G.ingest_summary(V.collected(spark, sf))
+
+
+@register(
+    "cap_per_group",
+    O.sql(
+        """SELECT category, event_id FROM collected
+        QUALIFY row_number() OVER (PARTITION BY category ORDER BY published_at DESC, event_id) <= 20
+        ORDER BY published_at DESC, event_id LIMIT 150""",
+        "collected",
+    ),
+)
+def cap_per_group(spark, sf):
+    rows = V.collected(spark, sf)
+    return G.cap_per_group(
+        rows, "category", 20, 150, order=[F.desc("published_at"), F.asc("event_id")]
+    ).select("category", "event_id")

@@ -6,8 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "strings": T.ArrayType(T.StringType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A flat schema from ``name type`` pairs (usable before a session exists)."""
+    pairs = [part.split() for part in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 MENTIONS = _struct(
@@ -22,10 +34,18 @@ ARCHIVE_POSTS = _struct(
     "subreddit string, created_utc bigint, title string, selftext string, permalink string, "
     "author string, score bigint, num_comments bigint"
 )
-LISTING_PAGES = _struct(
-    "subreddit string, sort string, data struct<after: string, children: array<struct<data: struct<"
-    "created_utc: double, title: string, selftext: string, permalink: string, author: string, "
-    "score: bigint, num_comments: bigint, upvote_ratio: double>>>>"
+_LISTED_POST = _struct(
+    "created_utc double, title string, selftext string, permalink string, author string, "
+    "score bigint, num_comments bigint, upvote_ratio double"
+)
+LISTING_PAGES = (
+    _struct("subreddit string, sort string")
+    .add(
+        "data",
+        T.StructType()
+        .add("after", T.StringType())
+        .add("children", T.ArrayType(T.StructType().add("data", _LISTED_POST))),
+    )
 )
 FEED_ENTRIES = _struct(
     "community string, sort string, position bigint, title string, content string, "
@@ -34,7 +54,7 @@ FEED_ENTRIES = _struct(
 STORY_HITS = _struct(
     "query string, objectID string, title string, story_title string, comment_text string, "
     "story_text string, created_at string, url string, author string, points bigint, "
-    "num_comments bigint, _tags array<string>"
+    "num_comments bigint, _tags strings"
 )
 NEWS_ITEMS = _struct(
     "query string, position bigint, title string, description string, pubDate string, "
