@@ -254,3 +254,85 @@ def sql(final: str, *blocks: str, recursive: bool = False) -> str:
         return final
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(BLOCKS[b] for b in order) + "\n" + final
+
+BLOCKS["record"] = f"""record AS (
+  SELECT {sid('source', 'platform', 'keyword', 'title', 'text', 'url')} AS mention_id, *,
+    {strip("title || ' ' || text")} AS full_text FROM raw)"""
+
+BLOCKS["catalog"] = """entries_c AS (
+  SELECT r_regionkey AS k, r_name AS category, n_nationkey AS p, n_name AS community
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL
+  SELECT r_regionkey, r_name, n_nationkey + 100, CASE WHEN n_nationkey % 2 = 1 THEN lower(n_name) ELSE n_name END
+  FROM nation JOIN region ON r_regionkey = n_regionkey + 1),
+firsts AS (
+  SELECT *, CASE category WHEN 'EUROPE' THEN 0 WHEN 'ASIA' THEN 1 ELSE 2 END AS place FROM entries_c
+  QUALIFY row_number() OVER (PARTITION BY community ORDER BY place, k, p) = 1),
+catalog AS (
+  SELECT category, community, row_number() OVER (ORDER BY place, k, p) AS ordinal FROM firsts)"""
+
+ARCHIVE = """raw AS (
+  SELECT 'arctic_shift_reddit' AS source, 'reddit' AS platform, 'r/' || dsource AS sub_source,
+    'submission' AS source_type, 'r/' || dsource AS keyword, 'r/' || dsource || ' 2026' AS query,
+    CASE event_type WHEN 'signup' THEN '' ELSE title END AS title,
+    CASE WHEN event_type IN ('click', 'view') THEN '' ELSE {body} END AS text,
+    CASE event_type WHEN 'view' THEN '[deleted]' ELSE concat('u', user_id) END AS author, dsource AS community,
+    CASE event_type WHEN 'error' THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') END AS published_at,
+    CASE event_type WHEN 'purchase' THEN '' ELSE 'https://reddit.com/r/p/' || event_id END AS url,
+    (CASE event_type WHEN 'click' THEN 0 ELSE floor(value) END + 3 * user_id)::DOUBLE AS engagement_score,
+    '{{"score": ' || CASE event_type WHEN 'click' THEN 'null' ELSE floor(value)::BIGINT::VARCHAR END
+      || ', "num_comments": ' || user_id || '}}' AS metrics_json
+  FROM ev WHERE event_type = 'error' OR ts >= '2024-01-10')""".format(body=strip("body"))
+
+LISTING = """raw AS (
+  SELECT 'reddit_json' AS source, 'reddit' AS platform, 'r/' || sub AS sub_source, 'submission' AS source_type,
+    'r/' || sub AS keyword, 'r/' || sub || ' ' || sort || ' 2026' AS query, title,
+    CASE event_type WHEN 'click' THEN '' WHEN 'view' THEN ' [deleted]' ELSE body END AS text,
+    concat('u', user_id) AS author, sub AS community, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS published_at,
+    'https://reddit.com/l/' || event_id AS url, (floor(value) + 3 * user_id)::DOUBLE AS engagement_score,
+    '{"score": ' || floor(value)::BIGINT || ', "num_comments": ' || user_id || ', "upvote_ratio": 0.5}' AS metrics_json
+  FROM (SELECT *, 'sub' || (event_id // 100 % 7) AS sub,
+          CASE WHEN event_id // 100 % 2 = 0 THEN 'new' ELSE 'top' END AS sort FROM ev)
+  WHERE ts >= '2024-01-05')"""
+
+FEED = """raw AS (
+  SELECT 'reddit_rss' AS source, 'reddit' AS platform, 'r/' || source AS sub_source, 'submission' AS source_type,
+    'r/' || source AS keyword, 'r/' || source || ' hot' AS query, left(text, 80) AS title, text, lang AS author,
+    source AS community, CASE lang WHEN 'en' THEN strftime(tm, '%Y-%m-%dT%H:%M:%S+00:00')
+      WHEN 'de' THEN strftime(tm, '%Y-%m-%dT%H:%M:%S+02:00') WHEN 'fr' THEN strftime(tm, '%d %b %Y %H:%M:%S GMT')
+      ELSE 'yesterday' END AS published_at,
+    'https://example.com/d/' || doc_id AS url, 0.0::DOUBLE AS engagement_score, '{}' AS metrics_json
+  FROM (SELECT *, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (doc_id % 40) AS tm FROM documents
+        QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 100)
+  WHERE NOT ((lang = 'en' AND tm < '2024-01-10') OR (lang = 'de' AND tm - INTERVAL 2 HOUR < '2024-01-10')))"""
+
+STORIES = """raw AS (
+  SELECT 'hackernews_algolia' AS source, 'forum' AS platform, 'hackernews' AS sub_source,
+    CASE turn WHEN 0 THEN 'story' ELSE 'comment' END AS source_type, role AS keyword, role AS query,
+    CASE WHEN turn > 0 THEN 'story ' || conv_id ELSE left(text, 60) END AS title, text, role AS author,
+    'hackernews' AS community, strftime(tm, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
+    CASE turn WHEN 0 THEN 'https://example.com/c/' || conv_id
+      ELSE 'https://news.ycombinator.com/item?id=' || conv_id || '-' || turn END AS url,
+    (CASE turn WHEN 0 THEN length(text) ELSE 0 END + 3 * turn)::DOUBLE AS engagement_score,
+    '{"points": ' || CASE turn WHEN 0 THEN length(text)::VARCHAR ELSE 'null' END || ', "num_comments": ' || turn || '}' AS metrics_json
+  FROM (SELECT *, TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * (conv_id * 977 + turn * 60) AS tm FROM conversations)
+  WHERE tm > '2024-01-01' AND tm < '2024-01-03 23:59:59')"""
+
+NEWS = """raw AS (
+  SELECT 'google_news_rss' AS source, 'news' AS platform, host AS sub_source, 'article_snippet' AS source_type,
+    q AS keyword, q AS query, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, html AS text,
+    host AS author, host AS community, 'Mon, 01 Jan 2024 10:00:00 GMT' AS published_at, url,
+    0.0::DOUBLE AS engagement_score, '{}' AS metrics_json
+  FROM (SELECT *, regexp_extract(url, '://([^/]+)/', 1) AS host, regexp_extract(url, '\\.example\\.([a-z]+)/', 1) AS q
+        FROM pages QUALIFY row_number() OVER (PARTITION BY q ORDER BY page_id) <= 100))"""
+
+RECORD_COLUMNS = (
+    "mention_id, source, platform, sub_source, source_type, keyword, query, title, text, full_text, author, "
+    "community, published_at, url, engagement_score, metrics_json"
+)
+
+
+def records(raw: str, *blocks: str) -> str:
+    head = sql("", *blocks) if blocks else "WITH "
+    sep = ",\n" if blocks else " "
+    return f"{head.rstrip()}{sep}{raw},\n{BLOCKS['record']}\nSELECT {RECORD_COLUMNS} FROM record"

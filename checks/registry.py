@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendloom import functions as X
 from trendloom.operators import board as D
 from trendloom.operators import brands as B
 from trendloom.operators import clean as K
 from trendloom.operators import ingest as G
+from trendloom.operators import quality as Q
 from trendloom.operators import series as S
 from trendloom.operators import sentiment as C
 from trendloom.operators import trends as R
 from trendloom.operators import windows as W
+from trendloom.sources import catalog as A
+from trendloom.sources import raw as N
 from trendloom.sources import store as T
 
 from . import oracle as O
@@ -534,3 +538,181 @@ def cap_per_group(spark, sf):
     return G.cap_per_group(
         rows, "category", 20, 150, order=[F.desc("published_at"), F.asc("event_id")]
     ).select("category", "event_id")
+
+
+# --- collector rows ---------------------------------------------------------
+
+_RECORD = [c.strip() for c in O.RECORD_COLUMNS.split(",")]
+
+
+@register("archive_posts", O.records(O.ARCHIVE, "ev"))
+def archive_posts(spark, sf):
+    raw = V.archive_posts(spark, sf)
+    return G.make_mentions(N.normalize_archive_posts(raw, "2024-01-10")).select(*_RECORD)
+
+
+@register("listing_posts", O.records(O.LISTING, "ev"))
+def listing_posts(spark, sf):
+    pages = V.listing_pages(spark, sf)
+    return G.make_mentions(N.normalize_listing_posts(pages, "2024-01-05")).select(*_RECORD)
+
+
+@register("feed_entries", O.records(O.FEED))
+def feed_entries(spark, sf):
+    raw = V.feed_entries(spark, sf)
+    return G.make_mentions(N.normalize_feed_entries(raw, "2024-01-10")).select(*_RECORD)
+
+
+@register("story_hits", O.records(O.STORIES))
+def story_hits(spark, sf):
+    raw = V.story_hits(spark, sf)
+    return G.make_mentions(N.normalize_story_hits(raw, "2024-01-01", "2024-01-03")).select(*_RECORD)
+
+
+@register("news_items", O.records(O.NEWS))
+def news_items(spark, sf):
+    return G.make_mentions(N.normalize_news_items(V.news_items(spark, sf))).select(*_RECORD)
+
+
+@register("mentions_csv", O.records(O.ARCHIVE, "ev"))
+def mentions_csv(spark, sf):
+    """Records written as CSV and read back: quotes, line breaks and empty texts survive."""
+    made = G.make_mentions(N.normalize_archive_posts(V.archive_posts(spark, sf), "2024-01-10"))
+    path = V.scratch(spark) + "/csv"
+    T.write_mentions_csv(made, path)
+    return T.read_mentions_csv(spark, path).select(*_RECORD)
+
+
+@register(
+    "category_catalog", O.sql("SELECT category, community, ordinal FROM catalog", "catalog")
+)
+def category_catalog(spark, sf):
+    return A.load_catalog(V.catalog_text(spark, sf), ["EUROPE", "ASIA"])
+
+
+@register(
+    "with_category",
+    O.sql(
+        """SELECT c_custkey, c_nationkey AS nation, coalesce(category, 'none') AS category
+        FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN catalog ON community = n_name""",
+        "catalog",
+    ),
+)
+def with_category(spark, sf):
+    catalog = A.load_catalog(V.catalog_text(spark, sf), ["EUROPE", "ASIA"])
+    people = V.table(spark, sf, "customer").join(
+        V.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    named = people.select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("n_name").alias("community"))
+    return G.with_category(named, catalog, "none").select("c_custkey", "nation", "category")
+
+
+# --- scalar functions -------------------------------------------------------
+
+
+@register(
+    "parse_published_at",
+    """SELECT o_orderkey, strftime(CASE left(o_orderpriority, 1) WHEN '3' THEN t - INTERVAL 2 HOUR
+      WHEN '4' THEN NULL ELSE t END, '%Y-%m-%d %H:%M:%S.%f') AS published_at
+    FROM (SELECT *, o_orderdate + INTERVAL 1 SECOND * (o_orderkey % 86400)
+            + CASE left(o_orderpriority, 1) WHEN '5' THEN INTERVAL 250 MILLISECOND ELSE INTERVAL 0 SECOND END AS t
+          FROM orders)""",
+)
+def parse_published_at(spark, sf):
+    """Order dates written in five ways by priority, then parsed."""
+    o = V.table(spark, sf, "orders")
+    t = F.timestamp_seconds(
+        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86400
+    )
+    p = F.substring("o_orderpriority", 1, 1)
+    text = (
+        F.when(p == "1", F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(p == "2", F.date_format(t, "EEE, dd MMM yyyy HH:mm:ss 'GMT'"))
+        .when(p == "3", F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
+        .when(p == "4", F.lit("not a date"))
+        .otherwise(F.concat(F.date_format(t, "yyyy-MM-dd HH:mm:ss"), F.lit(".25")))
+    )
+    parsed = o.select("o_orderkey", X.parse_published_at(text).alias("published_at"))
+    return parsed.select("o_orderkey", _ts("published_at"))
+
+
+@register(
+    "time_functions",
+    """SELECT o_orderkey, strftime(date_trunc('week', t), '%Y-%m-%d') AS week, strftime(t, '%Y-%m-%dT%H:%M:%S+00:00') AS iso,
+      epoch(date_trunc('day', t))::BIGINT AS day_start, epoch(date_trunc('day', t))::BIGINT + 86399 AS day_end
+    FROM (SELECT o_orderkey, o_orderdate + INTERVAL 1 SECOND * (o_orderkey % 86400) AS t FROM orders)""",
+)
+def time_functions(spark, sf):
+    o = V.table(spark, sf, "orders")
+    t = X.epoch_to_timestamp(
+        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86400
+    )
+    start, end = X.day_bounds(F.date_format(t, "yyyy-MM-dd"))
+    return o.select(
+        "o_orderkey", X.week_start(t).alias("week"), X.iso_utc(t).alias("iso"),
+        start.alias("day_start"), end.alias("day_end"),
+    )
+
+
+@register("norm_text", f"SELECT doc_id, {O.norm('text')} AS norm FROM documents")
+def norm_text(spark, sf):
+    return V.table(spark, sf, "documents").select("doc_id", X.norm_text("text").alias("norm"))
+
+
+@register(
+    "display_name",
+    f"""SELECT raw, {O.display('raw')} AS display FROM (
+      SELECT DISTINCT unnest(string_split(text, ' ')) AS raw FROM documents
+      UNION SELECT c_name FROM customer UNION SELECT p_name FROM part UNION SELECT p_brand FROM part)""",
+)
+def display_name(spark, sf):
+    docs = V.table(spark, sf, "documents").select(F.explode(F.split("text", " ")).alias("raw"))
+    part = V.table(spark, sf, "part")
+    names = (
+        docs.union(V.table(spark, sf, "customer").select("c_name"))
+        .union(part.select("p_name"))
+        .union(part.select("p_brand"))
+        .distinct()
+    )
+    return names.select("raw", X.display_name("raw").alias("display"))
+
+
+# --- declared checks --------------------------------------------------------
+
+
+@register(
+    "content_dedup",
+    O.sql(
+        f"""SELECT event_id, h AS content_hash FROM (SELECT *, sha256(concat_ws('||', {O.norm('title')}, {O.norm("coalesce(text, '')")})) AS h
+        FROM collected) QUALIFY row_number() OVER (PARTITION BY h ORDER BY published_at, event_id) = 1""",
+        "collected",
+    ),
+)
+def content_dedup(spark, sf):
+    rows = V.collected(spark, sf)
+    return Q.dedup_content(rows, order=["published_at", "event_id"]).select("event_id", "content_hash")
+
+
+@register(
+    "volume_checks",
+    O.sql(
+        """SELECT strftime(day, '%Y-%m-%d') AS day, source, coalesce(n, 0)::BIGINT AS row_count,
+          CASE WHEN coalesce(n, 0) = 0 THEN 'empty' WHEN n < 60 THEN 'low' ELSE 'ok' END AS status
+        FROM (SELECT DISTINCT published_at::DATE AS day FROM collected)
+        CROSS JOIN (SELECT DISTINCT source FROM collected UNION SELECT 'never') x
+        LEFT JOIN (SELECT published_at::DATE AS day, source, count(*) AS n FROM collected GROUP BY ALL) USING (day, source)""",
+        "collected",
+    ),
+)
+def volume_checks(spark, sf):
+    rows = V.collected(spark, sf)
+    expected = rows.select("source").union(V.words(spark, ["never"])).distinct()
+    return Q.volume_checks(rows, expected, 60).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@register(
+    "date_range",
+    """SELECT event_id FROM events WHERE ts >= '2024-01-05' AND ts < '2024-01-13'""",
+)
+def date_range(spark, sf):
+    return Q.date_range(V.events(spark, sf), "2024-01-05", "2024-01-12", "ts").select("event_id")

@@ -163,3 +163,133 @@ def scratch(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="trendloom-checks-")
+
+
+# --- raw collector rows -----------------------------------------------------
+
+
+def archive_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive posts from events: missing times, tombstones and null counters occur."""
+    e = event_posts(spark, sf_dir)
+    kind = F.col("event_type")
+    return e.select(
+        F.col("source").alias("subreddit"),
+        F.when(kind == "error", F.lit(None)).otherwise(F.unix_timestamp("ts")).cast("bigint").alias("created_utc"),
+        F.when(kind == "signup", F.lit(None)).otherwise(_title()).alias("title"),
+        F.when(kind == "click", F.lit("[removed]"))
+        .when(kind == "view", F.lit(" [deleted]\n"))
+        .otherwise(_body())
+        .alias("selftext"),
+        F.when(kind == "purchase", F.lit(None))
+        .otherwise(F.concat(F.lit("/r/p/"), F.col("event_id")))
+        .alias("permalink"),
+        F.when(kind == "view", F.lit(None)).otherwise(F.concat(F.lit("u"), F.col("user_id"))).alias("author"),
+        F.when(kind == "click", F.lit(None)).otherwise(F.floor("value")).cast("bigint").alias("score"),
+        F.col("user_id").alias("num_comments"),
+    )
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages of at most 100 consecutive events each."""
+    e = event_posts(spark, sf_dir).withColumn("page", F.floor(F.col("event_id") / 100))
+    post = F.struct(
+        F.struct(
+            F.unix_timestamp("ts").cast("double").alias("created_utc"),
+            _title().alias("title"),
+            F.when(F.col("event_type") == "click", F.lit("[removed]"))
+            .when(F.col("event_type") == "view", F.lit(" [deleted]"))
+            .otherwise(_body())
+            .alias("selftext"),
+            F.concat(F.lit("/l/"), F.col("event_id")).alias("permalink"),
+            F.concat(F.lit("u"), F.col("user_id")).alias("author"),
+            F.floor("value").cast("bigint").alias("score"),
+            F.col("user_id").alias("num_comments"),
+            F.lit(0.5).alias("upvote_ratio"),
+        ).alias("data")
+    )
+    return e.groupBy("page").agg(F.collect_list(post).alias("children")).select(
+        F.concat(F.lit("sub"), F.col("page") % 7).alias("subreddit"),
+        F.when(F.col("page") % 2 == 0, "new").otherwise("top").alias("sort"),
+        F.struct(F.lit(None).cast("string").alias("after"), F.col("children")).alias("data"),
+    )
+
+
+def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One entry per document; dates are ISO, RFC-822 or junk by language."""
+    day = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") % 40 * 86_400)
+    d = table(spark, sf_dir, "documents").withColumn("at", day)
+    return d.select(
+        F.col("source").alias("community"),
+        F.lit("hot").alias("sort"),
+        F.col("doc_id").alias("position"),
+        _title().alias("title"),
+        F.col("text").alias("content"),
+        F.when(F.col("lang") == "en", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(F.col("lang") == "de", F.concat(F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
+        .when(F.col("lang") == "fr", F.date_format("at", "dd MMM yyyy HH:mm:ss 'GMT'"))
+        .otherwise(F.lit("yesterday"))
+        .alias("updated"),
+        F.concat(F.lit("https://example.com/d/"), F.col("doc_id")).alias("link"),
+        F.col("lang").alias("author"),
+    )
+
+
+def story_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One hit per conversation turn: first turns are stories, later ones comments."""
+    c = table(spark, sf_dir, "conversations")
+    first = F.col("turn") == 0
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("conv_id") * 977 + F.col("turn") * 60)
+    return c.select(
+        F.col("role").alias("query"),
+        F.concat_ws("-", "conv_id", "turn").alias("objectID"),
+        F.when(first, F.substring("text", 1, 60)).otherwise(F.lit("")).alias("title"),
+        F.when(first, F.lit(None)).otherwise(F.concat(F.lit("story "), F.col("conv_id"))).alias("story_title"),
+        F.when(first, F.lit("")).otherwise(F.col("text")).alias("comment_text"),
+        F.when(first, F.col("text")).alias("story_text"),
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
+        F.when(first, F.concat(F.lit("https://example.com/c/"), F.col("conv_id"))).alias("url"),
+        F.col("role").alias("author"),
+        F.when(first, F.length("text")).cast("bigint").alias("points"),
+        F.col("turn").alias("num_comments"),
+        F.when(first, F.array(F.lit("story"))).otherwise(F.array(F.lit("comment"), F.lit("x"))).alias("_tags"),
+    )
+
+
+def news_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item per web page, queried by the page's host."""
+    p = table(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", r"://([^/]+)/", 1)
+    return p.select(
+        F.regexp_extract("url", r"\.example\.([a-z]+)/", 1).alias("query"),
+        F.col("page_id").alias("position"),
+        F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"),
+        F.col("html").alias("description"),
+        F.lit("Mon, 01 Jan 2024 10:00:00 GMT").alias("pubDate"),
+        F.col("url").alias("link"),
+        host.alias("source"),
+    )
+
+
+def catalog_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog as one JSON text: nation names by region, some in two categories."""
+    n = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    own = n.select(F.col("r_regionkey").alias("k"), "r_name", F.col("n_nationkey").alias("p"), "n_name")
+    # the next region lists every nation of this one again, in lower case for odd keys
+    again = n.join(
+        table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("nr")),
+        F.col("k") == F.col("n_regionkey") + 1,
+    ).select(
+        "k", F.col("nr").alias("r_name"), (F.col("n_nationkey") + 100).alias("p"),
+        F.when(F.col("n_nationkey") % 2 == 1, F.lower("n_name")).otherwise(F.col("n_name")).alias("n_name"),
+    )
+    # a configuration of 5 categories and 45 names, whatever the scale
+    lists = own.unionByName(again).groupBy("k", "r_name").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("p", "n_name"))), lambda s: s["n_name"]).alias("l")
+    )
+    return lists.agg(F.array_sort(F.collect_list(F.struct("k", "r_name", "l"))).alias("a")).select(
+        F.to_json(
+            F.map_from_entries(F.transform("a", lambda s: F.struct(s["r_name"], s["l"])))
+        ).alias("value")
+    )
