@@ -336,3 +336,28 @@ def records(raw: str, *blocks: str) -> str:
     head = sql("", *blocks) if blocks else "WITH "
     sep = ",\n" if blocks else " "
     return f"{head.rstrip()}{sep}{raw},\n{BLOCKS['record']}\nSELECT {RECORD_COLUMNS} FROM record"
+
+# --- vectors ----------------------------------------------------------------
+
+BLOCKS["knn"] = """pairs_v AS (
+  SELECT a.vec_id AS src, b.vec_id AS dst,
+    round_even((1 - list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) * 1e9, 0) / 1e9 AS distance
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+knn AS (
+  SELECT src, dst, distance, row_number() OVER (PARTITION BY src ORDER BY distance, dst)::INTEGER AS rank
+  FROM pairs_v QUALIFY rank <= 15)"""
+
+BLOCKS["clusters"] = """core AS (SELECT src AS id, distance AS core FROM knn WHERE rank = 10),
+close_e AS (
+  SELECT src, dst FROM knn JOIN core a ON a.id = src JOIN core b ON b.id = dst
+  WHERE greatest(distance, a.core, b.core) <= (SELECT quantile_disc(core, 0.8) FROM core)),
+undirected AS (SELECT src, dst FROM close_e UNION SELECT dst, src FROM close_e),
+reach AS (
+  SELECT src AS id, src AS other FROM undirected
+  UNION SELECT r.id, u.dst FROM reach r JOIN undirected u ON u.src = r.other),
+parts AS (SELECT id, min(other) AS root FROM reach GROUP BY 1),
+big AS (SELECT root FROM parts GROUP BY 1 HAVING count(*) >= 20),
+clusters AS (
+  SELECT e.vec_id, b.root AS cluster_root FROM embeddings e LEFT JOIN parts p ON p.id = e.vec_id
+  LEFT JOIN big b ON b.root = p.root)"""
+NEEDS["clusters"] = ["knn"]

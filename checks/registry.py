@@ -11,11 +11,14 @@ from trendloom import functions as X
 from trendloom.operators import board as D
 from trendloom.operators import brands as B
 from trendloom.operators import clean as K
+from trendloom.operators import cluster as Z
 from trendloom.operators import ingest as G
+from trendloom.operators import knn as J
 from trendloom.operators import quality as Q
 from trendloom.operators import series as S
 from trendloom.operators import sentiment as C
 from trendloom.operators import trends as R
+from trendloom.operators import vectors as E
 from trendloom.operators import windows as W
 from trendloom.sources import catalog as A
 from trendloom.sources import raw as N
@@ -716,3 +719,107 @@ def volume_checks(spark, sf):
 )
 def date_range(spark, sf):
     return Q.date_range(V.events(spark, sf), "2024-01-05", "2024-01-12", "ts").select("event_id")
+
+
+# --- vectors and clusters ---------------------------------------------------
+
+
+def _vectors(spark, sf):
+    return V.table(spark, sf, "embeddings")
+
+
+@register(
+    "unit_vectors",
+    """SELECT vec_id, round_even(list_sum(list_transform(u, lambda x: x * x)) * 1e4, 0) / 1e4 AS length,
+      round_even(u[1] * 1e4, 0) / 1e4 + 0.0 AS first_value
+    FROM (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u
+          FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings))""",
+)
+def unit_vectors(spark, sf):
+    u = E.normalize_vectors(_vectors(spark, sf))
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    return u.select(
+        "vec_id",
+        X.np_round(total, 4).alias("length"),
+        X.np_round(F.col("embedding")[0].cast("double"), 4).alias("first_value"),
+    )
+
+
+@register("knn_graph", O.sql(f"SELECT src, dst, rank, {O.rnd('distance', 6)} AS distance FROM knn", "knn"))
+def knn_graph(spark, sf):
+    return J.knn_graph(_vectors(spark, sf)).select("src", "dst", "rank", *_r6("distance"))
+
+
+def _clusters(spark, sf):
+    from trendloom.session import staged
+
+    vectors = _vectors(spark, sf)
+    graph = staged(J.knn_graph(vectors))
+    # the smallest core distance that at least 80% of the vectors do not exceed
+    eps = Z.core_distances(graph).agg(F.expr("percentile_disc(0.8) WITHIN GROUP (ORDER BY core)")).first()[0]
+    return Z.density_cluster(vectors, 10, 20, eps, graph=graph)
+
+
+@register(
+    "density_cluster",
+    O.sql("SELECT vec_id, cluster_root FROM clusters", "clusters", recursive=True),
+)
+def density_cluster(spark, sf):
+    return _clusters(spark, sf).select("vec_id", "cluster_root")
+
+
+@register(
+    "cluster_summary",
+    O.sql(
+        """SELECT count(DISTINCT cluster_root) AS n_clusters, count(cluster_root) AS n_clustered,
+        count(*) - count(cluster_root) AS n_noise,
+        round_even(100.0 * (count(*) - count(cluster_root)) / count(*) * 10, 0) / 10 AS noise_pct FROM clusters""",
+        "clusters", recursive=True,
+    ),
+)
+def cluster_summary(spark, sf):
+    return Z.cluster_summary(_clusters(spark, sf))
+
+
+@register(
+    "cluster_sizes",
+    O.sql(
+        "SELECT cluster_root, count(*) AS size FROM clusters GROUP BY 1", "clusters", recursive=True
+    ),
+)
+def cluster_sizes(spark, sf):
+    """Sizes by number, named by the smallest id of each cluster (numbers are arbitrary)."""
+    from trendloom.session import staged
+
+    c = staged(_clusters(spark, sf))
+    names = c.groupBy("cluster_id").agg(F.max("cluster_root").alias("cluster_root"))
+    return Z.cluster_sizes(c).join(names, "cluster_id").select("cluster_root", "size")
+
+
+@register(
+    "attach_clusters",
+    O.sql(
+        """SELECT doc_id, source, (cluster_root IS NULL)::INTEGER AS noise
+        FROM documents LEFT JOIN clusters ON vec_id = doc_id""",
+        "clusters", recursive=True,
+    ),
+)
+def attach_clusters(spark, sf):
+    labels = _clusters(spark, sf).withColumnRenamed("vec_id", "doc_id")
+    docs = V.table(spark, sf, "documents").select("doc_id", "source")
+    return Z.attach_clusters(docs, labels, "doc_id").select(
+        "doc_id", "source", (F.col("cluster_id") == -1).cast("int").alias("noise")
+    )
+
+
+@register("embed_text")
+def embed_text(spark, sf):
+    docs = V.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("mention_id"), F.lit("").alias("title"), "text"
+    )
+    return E.embed_text(docs)
+
+
+@register("reduce_dims")
+def reduce_dims(spark, sf):
+    return E.reduce_dims(_vectors(spark, sf)).select("vec_id", "reduced")

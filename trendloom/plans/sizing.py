@@ -11,6 +11,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Copies of the other side when the join must shuffle: a key that holds a third
 # of all rows is spread over this many tasks.
 SALTS = 32
+# A key is hot when it holds more than this share of the rows, so there are at
+# most 1 / HOT_SHARE hot keys.
+HOT_SHARE = 1 / 500
 
 
 def measured_size(df: DataFrame) -> tuple[int, int]:
@@ -19,6 +22,8 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     for name, kind in df.dtypes:
         if kind == "string":
             width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + 16
+        elif kind.startswith("array"):
+            width = width + F.greatest(F.size(F.col(name)), F.lit(0)) * 8 + 16
         else:
             width = width + 16
     row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
@@ -70,3 +75,26 @@ def salted_join(
     left = facts.withColumn("_salt", F.pmod(seed, F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, keys + ["_salt"], how).drop("_salt")
+
+
+def hot_split_join(
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
+) -> DataFrame:
+    """Join with a large lookup table that has one row per key.
+
+    Hot keys of ``facts`` are few by definition: their lookup rows are broadcast
+    and their facts stay where they are. All other keys meet in a plain shuffle
+    join. ``facts`` is read three times, so it should be a stored or staged table.
+    """
+    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    bound = max(int(total * HOT_SHARE), 10_000)
+    hot = [r[0] for r in counts.filter(F.col("_n") > bound).select(key).collect()]
+    if not hot:
+        return facts.join(lookup, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    return (
+        facts.filter(is_hot)
+        .join(F.broadcast(lookup.filter(is_hot)), key, how)
+        .unionByName(facts.filter(~is_hot).join(lookup.filter(~is_hot), key, how))
+    )
