@@ -361,3 +361,74 @@ clusters AS (
   SELECT e.vec_id, b.root AS cluster_root FROM embeddings e LEFT JOIN parts p ON p.id = e.vec_id
   LEFT JOIN big b ON b.root = p.root)"""
 NEEDS["clusters"] = ["knn"]
+
+# --- relevance --------------------------------------------------------------
+
+BLOCKS["contexts"] = values("contexts", "label, ctext", V.CONTEXTS)
+BLOCKS["context_scores"] = f"""tf AS (
+  SELECT mention_id, word, count(*) AS tf FROM (
+    SELECT mention_id, unnest(string_split({norm("title || ' ' || left(text, 500)")}, ' ')) AS word FROM mentions)
+  WHERE word <> '' GROUP BY ALL),
+idf AS (
+  SELECT word, ln(((SELECT count(*) FROM mentions) + 1) / (count(*) + 1)) + 1 AS idf FROM tf GROUP BY 1),
+ref AS (
+  SELECT label, word, count(*) * coalesce(any_value(idf), ln((SELECT count(*) FROM mentions) + 1) + 1) AS r
+  FROM (SELECT label, unnest(string_split({norm('ctext')}, ' ')) AS word FROM contexts) LEFT JOIN idf USING (word)
+  GROUP BY ALL),
+rn AS (SELECT label, sqrt(sum(r * r)) AS rn FROM ref GROUP BY 1),
+mn AS (SELECT mention_id, sqrt(sum(tf * idf * tf * idf)) AS mn FROM tf JOIN idf USING (word) GROUP BY 1),
+context_scores AS (
+  SELECT mention_id, label, {rnd('dot / (mn * rn)', 6)} AS score FROM (
+    SELECT mention_id, label, sum(tf * idf * r) AS dot FROM tf JOIN idf USING (word) JOIN ref USING (word) GROUP BY ALL)
+  JOIN mn USING (mention_id) JOIN rn USING (label))"""
+NEEDS["context_scores"] = ["mentions", "contexts"]
+
+RULED = f"""tok AS (
+  SELECT mention_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS raw, len(ws) AS n, t
+  FROM (SELECT mention_id, t, regexp_split_to_array({strip('t')}, '{WS}+') AS ws
+        FROM (SELECT mention_id, title || ' ' || left(text, 500) AS t FROM mentions)) WHERE {strip('t')} <> ''),
+bare AS (
+  SELECT *, CASE WHEN length(b) <= 2 THEN raw ELSE b END AS w FROM (
+    SELECT *, regexp_replace(regexp_replace(raw, '^[[:punct:]]+', ''), '[[:punct:]]+$', '') AS b FROM tok)),
+flags AS (
+  SELECT *, lower(w) AS k, regexp_matches(w, '\\p{{Lu}}') AND NOT regexp_matches(w, '[\\p{{Ll}}\\p{{Lt}}]') AS loud FROM bare),
+post AS (
+  SELECT mention_id, count(*) FILTER (loud) AS n_loud, count(*) AS n, min(i) FILTER (k = 'but') AS but,
+    least(4, length(any_value(t)) - length(replace(any_value(t), '!', ''))) * 0.292
+    + CASE WHEN length(any_value(t)) - length(replace(any_value(t), '?', '')) <= 1 THEN 0
+           WHEN length(any_value(t)) - length(replace(any_value(t), '?', '')) <= 3
+           THEN (length(any_value(t)) - length(replace(any_value(t), '?', ''))) * 0.18 ELSE 0.96 END AS amp
+  FROM flags GROUP BY 1),
+near AS (
+  SELECT f.*, {', '.join(f"lag(k, {j}) OVER w AS k{j}, lag(loud, {j}) OVER w AS l{j}" for j in (1, 2, 3))}
+  FROM flags f WINDOW w AS (PARTITION BY mention_id ORDER BY i)),
+lexm AS (SELECT token FROM lexicon),
+mods AS (
+  SELECT 'n' AS kind, word FROM negs WHERE word NOT IN (SELECT token FROM lexm)
+  UNION ALL SELECT 'u', word FROM ups WHERE word NOT IN (SELECT token FROM lexm)
+  UNION ALL SELECT 'd', word FROM downs WHERE word NOT IN (SELECT token FROM lexm)),
+val AS (
+  SELECT n.mention_id, n.i, n.loud, n_loud > 0 AND n_loud < p.n AS mixed, but, amp,
+    CASE WHEN k IN (SELECT word FROM ups UNION SELECT word FROM downs) THEN 0 ELSE coalesce(l.valence, 0)::DOUBLE END AS v,
+    {', '.join(f'''CASE WHEN k{j} IN (SELECT word FROM mods WHERE kind = 'u') THEN 0.293
+       WHEN k{j} IN (SELECT word FROM mods WHERE kind = 'd') THEN -0.293 ELSE 0 END AS b{j}, coalesce(l{j}, false) AS l{j},
+    coalesce(k{j} IN (SELECT word FROM mods WHERE kind = 'n') OR contains(k{j}, 'n''t'), false)::INTEGER AS g{j}''' for j in (1, 2, 3))}
+  FROM near n JOIN post p USING (mention_id) LEFT JOIN lexicon l ON l.token = n.k),
+fin AS (
+  SELECT mention_id, amp, CASE WHEN v = 0 THEN 0 ELSE
+    (v + sign(v) * (CASE WHEN loud AND mixed THEN 0.733 ELSE 0 END
+      {' '.join(f"+ (b{j} + CASE WHEN l{j} AND mixed AND b{j} <> 0 THEN 0.733 ELSE 0 END) * {d}" for j, d in ((1, 1.0), (2, 0.95), (3, 0.9)))}))
+    * pow(-0.74, g1 + g2 + g3) * CASE WHEN but IS NULL OR i = but THEN 1 WHEN i < but THEN 0.5 ELSE 1.5 END END AS v
+  FROM val),
+agg AS (
+  SELECT mention_id, any_value(amp) AS amp, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS p,
+    sum(CASE WHEN v < 0 THEN 1 - v ELSE 0 END) AS g, count(*) FILTER (v = 0) AS u FROM fin GROUP BY 1),
+amped AS (
+  SELECT mention_id, CASE WHEN s > 0 THEN s + amp WHEN s < 0 THEN s - amp ELSE 0 END AS s,
+    p + CASE WHEN p > g THEN amp ELSE 0 END AS p, g + CASE WHEN p < g THEN amp ELSE 0 END AS g, u FROM agg)"""
+
+BLOCKS["modifiers"] = ", ".join(
+    [word_list("negs", V.NEGATIONS), word_list("ups", V.BOOSTERS), word_list("downs", V.DAMPENERS)]
+)
+BLOCKS["ruled"] = RULED
+NEEDS["ruled"] = ["mentions", "lexicon", "modifiers"]

@@ -15,14 +15,17 @@ from trendloom.operators import cluster as Z
 from trendloom.operators import ingest as G
 from trendloom.operators import knn as J
 from trendloom.operators import quality as Q
+from trendloom.operators import relevance as L
 from trendloom.operators import series as S
 from trendloom.operators import sentiment as C
 from trendloom.operators import trends as R
 from trendloom.operators import vectors as E
 from trendloom.operators import windows as W
+from trendloom.plans import dashboard as P
 from trendloom.sources import catalog as A
 from trendloom.sources import raw as N
 from trendloom.sources import store as T
+from trendloom.streaming import mentions as M
 
 from . import oracle as O
 from . import views as V
@@ -823,3 +826,124 @@ def embed_text(spark, sf):
 @register("reduce_dims")
 def reduce_dims(spark, sf):
     return E.reduce_dims(_vectors(spark, sf)).select("vec_id", "reduced")
+
+
+# --- rule-based sentiment and relevance -------------------------------------
+
+
+@register(
+    "sentiment_rules",
+    O.sql(
+        f"""SELECT mention_id, {O.rnd('s / sqrt(s * s + 15)', 4)} AS sentiment_compound,
+        {O.rnd('p / (p + g + u)', 3)} AS sentiment_positive, {O.rnd('g / (p + g + u)', 3)} AS sentiment_negative,
+        {O.rnd('u / (p + g + u)', 3)} AS sentiment_neutral,
+        CASE WHEN {O.rnd('s / sqrt(s * s + 15)', 4)} >= 0.05 THEN 'positive'
+          WHEN {O.rnd('s / sqrt(s * s + 15)', 4)} <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment_label
+        FROM amped""",
+        "ruled",
+    ),
+)
+def sentiment_rules(spark, sf):
+    rules = C.Rules(negations=V.NEGATIONS, boosters=V.BOOSTERS, dampeners=V.DAMPENERS)
+    return C.sentiment_scores(V.mentions(spark, sf), V.lexicon(spark), rules=rules)
+
+
+@register(
+    "business_context",
+    O.sql(
+        """SELECT mention_id, label AS business_context_label, score AS semantic_relevance_score FROM context_scores
+        QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, label DESC) = 1""",
+        "context_scores",
+    ),
+)
+def business_context(spark, sf):
+    return L.business_context(V.mentions(spark, sf), V.contexts(spark))
+
+
+_FOUND = """SELECT mention_id, max(score) AS semantic_relevance_score,
+  coalesce(max(score) FILTER (label = 'english'), 0) AS tiktok_relevance_score FROM context_scores GROUP BY 1
+  HAVING max(score) >= 0.3 OR max(score) FILTER (label = 'english') >= 0.18"""
+
+
+@register("semantic_filter", O.sql(_FOUND, "context_scores"))
+def semantic_filter(spark, sf):
+    return L.semantic_filter(
+        V.mentions(spark, sf), V.contexts(spark), 0.3, 0.18, commerce_label="english"
+    )
+
+
+@register(
+    "priority_score",
+    O.sql(
+        f"""SELECT mention_id, {O.rnd('semantic_relevance_score + 0.3 * tiktok_relevance_score', 6)} AS collector_priority_score
+        FROM ({_FOUND})""",
+        "context_scores",
+    ),
+)
+def priority_score(spark, sf):
+    return L.priority_score(semantic_filter(spark, sf)).select("mention_id", "collector_priority_score")
+
+
+# --- stored dashboards and streams ------------------------------------------
+
+
+@register(
+    "stored_dashboard",
+    O.sql(
+        """SELECT window_id, category, trend_score, coalesce(b, '') AS top_brands, coalesce(p, '') AS sample_titles
+        FROM stats LEFT JOIN (SELECT window_id, category, string_agg(brand, '|' ORDER BY rank) AS b FROM brands
+                              WHERE rank <= 20 GROUP BY ALL) USING (window_id, category)
+        LEFT JOIN (SELECT window_id, category, string_agg(url, '|' ORDER BY rank) AS p FROM samples GROUP BY ALL)
+          USING (window_id, category)""",
+        "stats", "brands", "samples",
+    ),
+)
+def stored_dashboard(spark, sf):
+    """All four result tables built, written by window, read back; the category table with its lists."""
+    base = V.scratch(spark)
+    posts = T.materialize(V.posts(spark, sf, ["title", "text", "url"]), base + "/posts")
+    names = T.materialize(_whitelist(spark, sf), base + "/whitelist")
+    T.write_dashboard(P.build_dashboard(posts, names), base + "/dashboard")
+    stats = T.read_dashboard(spark, base + "/dashboard")["category_stats"]
+    return stats.select(
+        "window_id", "category", "trend_score",
+        F.array_join("top_brands", "|").alias("top_brands"),
+        F.array_join("sample_posts.url", "|").alias("sample_titles"),
+    )
+
+
+@register(
+    "stream_mentions",
+    O.sql("SELECT DISTINCT mention_id FROM collected", "collected"),
+)
+def stream_mentions(spark, sf):
+    """The collected rows land in three files that share ids; the store gets every id once."""
+    base = V.scratch(spark)
+    landed = _as_mentions(V.collected(spark, sf)).repartition(3, "collected_at")
+    landed.write.parquet(base + "/landed")
+    source = M.read_mention_stream(spark, base + "/landed", max_files=1)
+    query = M.stream_mentions(source, base + "/store", base + "/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(base + "/store").select("mention_id")
+
+
+@register(
+    "stream_weekly",
+    O.sql(
+        """SELECT strftime(date_trunc('week', published_at), '%Y-%m-%d') AS week, category, count(*) AS mentions
+        FROM mentions GROUP BY ALL""",
+        "mentions",
+    ),
+)
+def stream_weekly(spark, sf):
+    base = V.scratch(spark)
+    rows = V.mentions(spark, sf).select("mention_id", "category", "published_at")
+    rows.repartitionByRange(4, "published_at").write.parquet(base + "/landed")
+    source = M.read_mention_stream(spark, base + "/landed", rows.schema, max_files=1000)
+    name = "weekly_" + base.rsplit("-", 1)[-1].replace("_", "x")
+    query = (
+        M.stream_weekly(source).writeStream.outputMode("complete").format("memory").queryName(name)
+        .option("checkpointLocation", base + "/state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.table(name)

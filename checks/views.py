@@ -293,3 +293,16 @@ def catalog_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.map_from_entries(F.transform("a", lambda s: F.struct(s["r_name"], s["l"])))
         ).alias("value")
     )
+
+
+# Reference texts of the relevance checks: labelled lists of own words.
+CONTEXTS = [
+    ("english", "the and of with this from that"),
+    ("german", "der die und sch ung keit aber"),
+    ("french", "de la les que des pour tion"),
+    ("spanish", "el en mente los una por"),
+]
+
+
+def contexts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(CONTEXTS, "label string, text string")
