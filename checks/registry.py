@@ -123,7 +123,7 @@ _STATS = [
     O.sql(f"SELECT {', '.join(_STATS)}, {_o6(*_MEANS)} FROM stats", "stats"),
 )
 def category_trends(spark, sf):
-    return R.category_trends(V.posts(spark, sf), _anchor(spark, sf)).select(*_STATS, *_r6(*_MEANS))
+    return _stats(spark, sf).select(*_STATS, *_r6(*_MEANS))
 
 
 @register(
@@ -242,7 +242,7 @@ def top_brands(spark, sf):
 
 def flagship(spark, sf):
     """Trend scores of the newest window, in score order."""
-    stats = R.category_trends(V.posts(spark, sf), _anchor(spark, sf))
+    stats = _stats(spark, sf)
     return R.in_score_order(stats.filter(F.col("window_id") == 0))
 
 
@@ -250,7 +250,8 @@ def flagship(spark, sf):
 
 
 def _stats(spark, sf):
-    return R.category_trends(V.posts(spark, sf), _anchor(spark, sf))
+    categories = V.mentions(spark, sf).select("category")
+    return R.category_trends(V.posts(spark, sf), _anchor(spark, sf), categories=categories)
 
 
 def _newest(spark, sf):

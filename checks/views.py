@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +30,18 @@ KNOWN = ["with", "from"]
 NOISE = ["this", "from", "une", "et", "du", "de", "la", "les"]
 
 
+# Rows of these tables grow into many (words, n-grams): where a table comes in
+# fewer splits than there are cores, as one small file does, it is dealt out.
+DEALT = {"events": "event_id", "documents": "doc_id", "embeddings": "vec_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in DEALT and len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, DEALT[name])
+    return df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,22 +101,31 @@ def collected(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rows(spark: SparkSession, data: list, columns: list[str]) -> DataFrame:
+    """A handful of parameter rows, held in the plan (no Python task reads them)."""
+    return spark.createDataFrame(pa.table(list(zip(*data)), names=columns))
+
+
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LEXICON, "token string, valence double")
+    return rows(spark, LEXICON, ["token", "valence"])
 
 
 def words(spark: SparkSession, values: list[str]) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in values], "word string")
+    return rows(spark, [(w,) for w in values], ["word"])
 
 
 POST_KEEP = ["category", "community", "published_at", "engagement_score"]
 
 
 def posts(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:
-    """Mentions with level-1 sentiment; the narrow columns ride through the scoring."""
-    return sentiment_scores(
-        mentions(spark, sf_dir), lexicon(spark), keep=POST_KEEP + list(extra or [])
-    )
+    """Mentions with level-1 sentiment.
+
+    The narrow columns ride through the scoring; wide ones (``extra``) would be
+    repeated per word there, so they are joined to the scores.
+    """
+    base = mentions(spark, sf_dir)
+    scores = sentiment_scores(base, lexicon(spark), keep=POST_KEEP)
+    return scores.join(base.select("mention_id", *extra), "mention_id") if extra else scores
 
 
 def brand_lists(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -305,4 +324,4 @@ CONTEXTS = [
 
 
 def contexts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CONTEXTS, "label string, text string")
+    return rows(spark, CONTEXTS, ["label", "text"])

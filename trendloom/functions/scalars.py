@@ -95,10 +95,8 @@ def norm_tokens(c: Column | str) -> Column:
     """
     marked = F.regexp_replace(F.lower(strip(c)), WHITESPACE_CLASS + "+", "\n")
     spaced = F.regexp_replace(marked, PUNCTUATION_CLASS + "+", " ")
-    parts = F.split(F.regexp_replace(spaced, " ?\n ?", "\n"), "\n")
-    return F.when(marked == "", F.array().cast("array<string>")).otherwise(
-        F.transform(parts, lambda t: F.trim(t))
-    )
+    parts = F.split(F.trim(F.regexp_replace(spaced, " ?\n ?", "\n")), "\n")
+    return F.when(marked == "", F.array().cast("array<string>")).otherwise(parts)
 
 
 def title_case(c: Column | str) -> Column:

@@ -89,8 +89,9 @@ def sentiment_scores(
     """One row per post: ``mention_id``, the ``keep`` columns and five sentiment columns.
 
     ``keep`` carries narrow columns of the post through the aggregation, so
-    that a consumer needs no join back to the posts. The words of a post are in
-    one task, so they are summed before the shuffle by ``mention_id``.
+    that a consumer needs no join back to the posts; wide columns would be
+    repeated per word, so join those by id. The words of a post are in one task,
+    so they are summed before the shuffle by ``mention_id``.
     """
     keep = [c for c in (keep or []) if c != "mention_id"]
     spec = DEFAULT_RULES if rules is True else rules

@@ -30,6 +30,8 @@ def local_session(cores: str = "8", app: str = "trendloom", **extra: str) -> Spa
         .appName(app)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
