@@ -93,10 +93,11 @@ def norm_tokens(c: Column | str) -> Column:
     text once and splitting at the original boundaries equals normalising each
     token. A newline marks the boundaries: no other newline is left by then.
     """
-    marked = F.regexp_replace(F.lower(strip(c)), WHITESPACE_CLASS + "+", "\n")
+    stripped = strip(c)
+    marked = F.regexp_replace(F.lower(stripped), WHITESPACE_CLASS + "+", "\n")
     spaced = F.regexp_replace(marked, PUNCTUATION_CLASS + "+", " ")
     parts = F.split(F.trim(F.regexp_replace(spaced, " ?\n ?", "\n")), "\n")
-    return F.when(marked == "", F.array().cast("array<string>")).otherwise(parts)
+    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(parts)
 
 
 def title_case(c: Column | str) -> Column:

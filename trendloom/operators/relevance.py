@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import head, norm_text, np_round, or_empty
 from ..plans.sizing import lookup_join
+from ..session import staged
 
 MIN_RELEVANCE = 0.015
 KEEP_SCORE = 0.18
@@ -35,8 +36,9 @@ def context_scores(
     counts = _word_counts(df, id_col, text)
     n = df.count()
     seen = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    weights = seen.select(
-        "word", (F.log(F.lit(float(n + 1)) / (F.col("df") + 1)) + 1.0).alias("idf")
+    # the vocabulary is read three times below
+    weights = staged(
+        seen.select("word", (F.log(F.lit(float(n + 1)) / (F.col("df") + 1)) + 1.0).alias("idf"))
     )
     unseen = F.lit(F.log(F.lit(float(n + 1))) + 1.0)
     refs = (

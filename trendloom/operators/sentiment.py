@@ -156,10 +156,11 @@ def _finish(sums: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _plain_words(base: DataFrame) -> DataFrame:
-    text = norm_text("_text")
-    words = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
     rest = [c for c in base.columns if c != "_text"]
-    return base.select(*rest, F.explode_outer(words).alias("_key"))
+    normed = base.select(*rest, norm_text("_text").alias("_norm"))
+    words = normed.select(*rest, F.explode(F.split("_norm", " ")).alias("_key"))
+    # a blank text splits into one empty word, which keeps its post in the result
+    return words.withColumn("_key", F.nullif("_key", F.lit("")))
 
 
 def _bare(word: Column) -> Column:

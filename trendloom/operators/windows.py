@@ -76,8 +76,8 @@ def assign_slots(
     """
     width = days * 86_400 * 1_000_000
     end = _micros(anchor)
-    age = F.lit(end) - F.unix_micros(F.col(ts))
-    slot = F.floor((age - 1) / F.lit(width))
+    # whole microseconds, so that no rounding moves a post over an edge
+    slot = F.expr(f"({end}L - unix_micros(`{ts}`) - 1L) div {width}L")
     return df.filter(
         (F.col(ts) >= _at(end - (n + 1) * width)) & (F.col(ts) < _at(end))
     ).withColumn("slot", slot.cast("int"))

@@ -76,15 +76,28 @@ CATEGORY_STATS = _struct(
     "communities_p bigint, mean_sentiment_p double, mean_engagement_p double, "
     "spike_ratio double, normalized_spike double, cross_community double, "
     "sentiment_score double, eng_momentum double, eng_momentum_norm double, trend_score double, "
-    "trend_direction string, mentions_delta bigint"
+    "trend_direction string, mentions_delta bigint, top_brands strings"
+).add(
+    "sample_posts",
+    T.ArrayType(
+        _struct(
+            "title string, community string, engagement_score double, sentiment_label string, url string"
+        )
+    ),
 )
 BRAND_STATS = _struct(
     "window_id int, category string, brand string, cur_mentions bigint, prev_mentions bigint, "
-    "brand_spike double, avg_sentiment double"
+    "brand_spike double, avg_sentiment double, rank int"
 )
 WEEKLY = _struct(
     "window_id int, category string, week string, mentions bigint, mean_sentiment double"
 )
+DASHBOARD = {
+    "windows": WINDOWS,
+    "category_stats": CATEGORY_STATS,
+    "brand_stats": BRAND_STATS,
+    "weekly": WEEKLY,
+}
 
 
 def require(df: DataFrame, columns, stage: str) -> DataFrame:
