@@ -948,3 +948,19 @@ def stream_weekly(spark, sf):
     )
     query.awaitTermination()
     return spark.table(name)
+
+
+@register(
+    "vector_store",
+    """SELECT vec_id, len(embedding)::INTEGER AS dims, round_even(embedding[2]::DOUBLE * 1e4, 0) / 1e4 + 0.0 AS second_value
+    FROM embeddings""",
+)
+def vector_store(spark, sf):
+    path = V.scratch(spark) + "/vectors"
+    E.write_vectors(_vectors(spark, sf), path, "vec_id")
+    stored = spark.read.parquet(path)
+    return stored.select(
+        "vec_id",
+        F.size("embedding").alias("dims"),
+        X.np_round(F.col("embedding")[1].cast("double"), 4).alias("second_value"),
+    )

@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in DEALT and len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < cores:
+    if name in DEALT and df.rdd.getNumPartitions() < cores:
         return df.repartition(cores, DEALT[name])
     return df
 

@@ -67,8 +67,9 @@ def ingest_new(
     ids = batch.select("mention_id").distinct()
     stored = existing.select("mention_id")
     if fits_broadcast(ids):
-        stored = stored.join(F.broadcast(ids), "mention_id", "left_semi").distinct()
-    return fresh.join(stored, "mention_id", "left_anti")
+        stored = stored.join(F.broadcast(ids), "mention_id", "left_semi")
+    # distinct first: an id may have been stored many times
+    return fresh.join(stored.distinct(), "mention_id", "left_anti")
 
 
 def cap_per_group(

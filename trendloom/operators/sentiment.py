@@ -88,6 +88,7 @@ def sentiment_scores(
 ) -> DataFrame:
     """One row per post: ``mention_id``, the ``keep`` columns and five sentiment columns.
 
+    Ids must be unique (see ``dedup_mentions``): words are summed by id.
     ``keep`` carries narrow columns of the post through the aggregation, so
     that a consumer needs no join back to the posts; wide columns would be
     repeated per word, so join those by id. The words of a post are in one task,

@@ -78,23 +78,30 @@ def salted_join(
 
 
 def hot_split_join(
-    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "inner",
+    *,
+    also: list[str] | None = None,
 ) -> DataFrame:
     """Join with a large lookup table that has one row per key.
 
     Hot keys of ``facts`` are few by definition: their lookup rows are broadcast
     and their facts stay where they are. All other keys meet in a plain shuffle
     join. ``facts`` is read three times, so it should be a stored or staged table.
+    ``also`` names further columns that must be equal (``key`` may be a hash).
     """
+    on = [key, *(also or [])]
     counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).first()[0] or 0
     bound = max(int(total * HOT_SHARE), 10_000)
     hot = [r[0] for r in counts.filter(F.col("_n") > bound).select(key).collect()]
     if not hot:
-        return facts.join(lookup, key, how)
+        return facts.join(lookup, on, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     return (
         facts.filter(is_hot)
-        .join(F.broadcast(lookup.filter(is_hot)), key, how)
-        .unionByName(facts.filter(~is_hot).join(lookup.filter(~is_hot), key, how))
+        .join(F.broadcast(lookup.filter(is_hot)), on, how)
+        .unionByName(facts.filter(~is_hot).join(lookup.filter(~is_hot), on, how))
     )
