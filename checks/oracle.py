@@ -211,14 +211,14 @@ allcats AS (SELECT window_id, count(DISTINCT category) AS tc FROM bc GROUP BY AL
 brands AS (
   SELECT window_id, category, brand, cur_mentions, prev_mentions,
     {rnd('cur_mentions / greatest(prev_mentions, 1)', 2)} AS brand_spike, {rnd('a', 3)} AS avg_sentiment,
-    row_number() OVER (PARTITION BY window_id, category ORDER BY cur_mentions DESC, brand) AS rank
+    (row_number() OVER (PARTITION BY window_id, category ORDER BY cur_mentions DESC, brand))::INTEGER AS rank
   FROM bc JOIN spread USING (window_id, brand) JOIN allcats USING (window_id)
   WHERE cur_mentions >= 2 AND nc / tc <= 0.4
   QUALIFY rank <= 25)"""
 
 BLOCKS["samples"] = """samples AS (
   SELECT window_id, category, mention_id, title, community, engagement_score, sentiment_label, url,
-    row_number() OVER (PARTITION BY window_id, category ORDER BY engagement_score DESC, mention_id) AS rank
+    (row_number() OVER (PARTITION BY window_id, category ORDER BY engagement_score DESC, mention_id))::INTEGER AS rank
   FROM sides WHERE side = 'cur' QUALIFY rank <= 5)"""
 
 # What each block builds on, in order.

@@ -327,7 +327,7 @@ def quadrants(spark, sf):
     )
 
 
-_BOARD = """(SELECT *, row_number() OVER (ORDER BY normalized_spike DESC, trend_score DESC, category) AS position
+_BOARD = """(SELECT *, (row_number() OVER (ORDER BY normalized_spike DESC, trend_score DESC, category))::INTEGER AS position
   FROM newest QUALIFY position <= 6)"""
 
 
@@ -398,7 +398,7 @@ def brand_deltas(spark, sf):
 @register(
     "post_preview",
     O.sql(
-        """SELECT category, rank::INTEGER AS position, title, community, engagement_score, sentiment_label, url
+        """SELECT category, rank AS position, title, community, engagement_score, sentiment_label, url
         FROM samples WHERE window_id = 0 AND rank <= 4""",
         "samples",
     ),
