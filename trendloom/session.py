@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +42,28 @@ def local_session(cores: str = "8", app: str = "trendloom", **extra: str) -> Spa
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Functions that run in Python workers refer to its modules, so the workers
+    must be able to import it from any working directory.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_trendloom_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="trendloom-ship-")
+    archive = os.path.join(folder, "trendloom.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for where, _, files in os.walk(here):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(where, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    sc.addPyFile(archive)  # copied by Spark, so the local file may go
+    sc._trendloom_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named by ``spark.checkpoint.dir``; make one only in local mode."""
     sc = spark.sparkContext
