@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import mixing, packing, pseudonyms
 from . import sql as S
 
 QUERIES = {
     "op3_pfair_mix": mixing.op3_pfair_mix,
     "op5_length_buckets": packing.op5_length_buckets,
+    "op9_feistel_pseudonyms": pseudonyms.op9_feistel_pseudonyms,
 }
 ORACLES = {
     "op3_pfair_mix": S.op3_sql(),
