@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, pseudonyms
+from . import chat, mixing, packing, pseudonyms
 from . import sql as S
 
 QUERIES = {
+    "op1_chat_format": chat.op1_chat_format,
     "op3_pfair_mix": mixing.op3_pfair_mix,
     "op5_length_buckets": packing.op5_length_buckets,
     "op9_feistel_pseudonyms": pseudonyms.op9_feistel_pseudonyms,
 }
 ORACLES = {
+    "op1_chat_format": S.OP1,
     "op3_pfair_mix": S.op3_sql(),
     "op5_length_buckets": S.op5_sql(),
 }

@@ -60,3 +60,16 @@ def op3_sql(block: int = 32, resolution: int = 64) -> str:
     SELECT doc_id, r.source, (rank // {block})::BIGINT AS block,
         ((rank // {block}) // parts * (SELECT period FROM a) + pos)::BIGINT AS slot, (rank % {block})::BIGINT AS place
     FROM r JOIN q ON r.source IS NOT DISTINCT FROM q.source AND (rank // {block}) % parts = q.j"""
+
+
+# Texts in turn order; the template adds 23 characters a turn and one for each control string.
+OP1 = r"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g AS (SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS loss,
+    sum(23 + length(role) + length(text)
+        + len(regexp_extract_all(role || ' ' || text, '<\\*(?:\||s>|/s>)|\[\\*(?:INST\]|/INST\])'))) AS chars
+    FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+    sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars FROM g"""
