@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, packing, pseudonyms
+from . import chat, lattice, mixing, packing, pseudonyms
 from . import sql as S
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_pfair_mix": mixing.op3_pfair_mix,
     "op5_length_buckets": packing.op5_length_buckets,
     "op9_feistel_pseudonyms": pseudonyms.op9_feistel_pseudonyms,
+    "op10_subword_lattice": lattice.op10_subword_lattice,
 }
 ORACLES = {
     "op1_chat_format": S.OP1,
