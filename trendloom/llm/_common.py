@@ -36,6 +36,25 @@ def in_fold(id_column: Column, of: int, remainder: int) -> Column:
     return (F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % of) == remainder
 
 
+def bin_edge(value: Column) -> Column:
+    """Upper edge of a whole number's bin: exact up to 128, then 64 bins per doubling."""
+    step = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(value)) - 7, F.lit(0)))
+    return F.when(value <= 128, value).otherwise(F.ceil(value / step).cast("long") * step)
+
+
+def most_frequent(rows: DataFrame, count: str, bound: int) -> DataFrame:
+    """The rows from some count upwards, as many as fit into ``bound``; counts are told apart by their bins."""
+    edge = bin_edge(F.col(count))
+    sizes = rows.groupBy(edge.alias("e")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("e")).collect()
+    least, held = None, 0
+    for r in sizes:
+        held += r.n
+        if held > bound:
+            break
+        least = r.e
+    return rows.filter(F.lit(False) if least is None else edge >= least)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 
 from trendloom.plans.staging import Stage
 
-from ._common import in_fold, table, text_of
-from .packing import bin_edge
+from ._common import in_fold, most_frequent, table, text_of
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 HOT_WORDS = 131_072
@@ -293,7 +292,7 @@ def score_texts(
 
     scored = stage.write(counts.mapInArrow(marginals, "word string, c long, logm double"))
     base = lambda c: math.log10((c + 1) / (n + v + 1))
-    frequent = _most_frequent(scored.filter(F.octet_length("word") <= HOT_BYTES)).toArrow()
+    frequent = most_frequent(scored.filter(F.octet_length("word") <= HOT_BYTES), "c", HOT_WORDS).toArrow()
     hot = spark.sparkContext.broadcast(
         {
             w.encode(): (c > 0, base(c), logm)
@@ -357,19 +356,6 @@ def score_texts(
     )
 
 
-def _most_frequent(words: DataFrame) -> DataFrame:
-    """The words from some count upwards, as many as fit into HOT_WORDS; counts are told apart by their bins."""
-    edge = bin_edge(F.col("c"))
-    sizes = words.groupBy(edge.alias("e")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("e")).collect()
-    least, held = None, 0
-    for r in sizes:
-        held += r.n
-        if held > HOT_WORDS:
-            break
-        least = r.e
-    return words.filter(F.lit(False) if least is None else edge >= least)
-
-
 def _slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)

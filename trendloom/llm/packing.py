@@ -15,20 +15,12 @@ from pyspark.sql import functions as F
 
 from trendloom.plans.staging import Stage
 
-from ._common import n_words, numbered, table
+from ._common import bin_edge, n_words, numbered, table
 
-EXACT = 128  # lengths up to this one have a bin of their own
-PER_DOUBLING = 64  # bins between a length and its double beyond that
 BUCKETS = 16
 BUDGET = 16_384  # padded tokens of a batch
 
 
-def bin_edge(length: Column) -> Column:
-    """Upper edge of a length's bin: exact up to 128, then 64 bins per doubling."""
-    step = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(length)) - 7, F.lit(0)))
-    return F.when(length <= EXACT, length).otherwise(F.ceil(length / step).cast("long") * step)
-
-
 def optimal_boundaries(edges: list[int], counts: list[int], totals: list[int], buckets: int) -> list[int]:
     """Upper edges of at most ``buckets`` buckets with the least padding.
 
