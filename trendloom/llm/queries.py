@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, lattice, mixing, packing, pseudonyms, toxicity
+from . import chat, lattice, mixing, packing, pseudonyms, secrets, toxicity
 from . import sql as S
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_pfair_mix": mixing.op3_pfair_mix,
+    "op4_secret_crf": secrets.op4_secret_crf,
     "op5_length_buckets": packing.op5_length_buckets,
     "op9_feistel_pseudonyms": pseudonyms.op9_feistel_pseudonyms,
     "op10_subword_lattice": lattice.op10_subword_lattice,
