@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, lattice, minhash, mixing, packing, pseudonyms, secrets, toxicity
+from . import chat, impact, lattice, minhash, mixing, packing, pseudonyms, secrets, toxicity
 from . import sql as S
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_secret_crf": secrets.op4_secret_crf,
     "op5_length_buckets": packing.op5_length_buckets,
     "op7_minhash_odd_sketch": minhash.op7_minhash_odd_sketch,
+    "op8_impact_topk": impact.op8_impact_topk,
     "op9_feistel_pseudonyms": pseudonyms.op9_feistel_pseudonyms,
     "op10_subword_lattice": lattice.op10_subword_lattice,
 }
@@ -19,4 +20,5 @@ ORACLES = {
     "op1_chat_format": S.OP1,
     "op3_pfair_mix": S.op3_sql(),
     "op5_length_buckets": S.op5_sql(),
+    "op8_impact_topk": S.OP8,
 }

@@ -73,3 +73,10 @@ g AS (SELECT conv_id, count(*) AS n_turns,
     FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
     sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars FROM g"""
+
+OP8 = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings),
+p AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x::DOUBLE[], v.x::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM p
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 20"""
