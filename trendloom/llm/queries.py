@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, impact, lattice, minhash, mixing, packing, pseudonyms, secrets, toxicity
+from . import chat, hnsw, impact, lattice, minhash, mixing, packing, pseudonyms, secrets, toxicity
 from . import sql as S
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_pfair_mix": mixing.op3_pfair_mix,
     "op4_secret_crf": secrets.op4_secret_crf,
     "op5_length_buckets": packing.op5_length_buckets,
+    "op6_hnsw_near_dup": hnsw.op6_hnsw_near_dup,
     "op7_minhash_odd_sketch": minhash.op7_minhash_odd_sketch,
     "op8_impact_topk": impact.op8_impact_topk,
     "op9_feistel_pseudonyms": pseudonyms.op9_feistel_pseudonyms,
