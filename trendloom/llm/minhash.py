@@ -17,12 +17,14 @@ is kept by its sketch with more than that.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.plans.sizing import fits_broadcast
@@ -36,9 +38,8 @@ HASHES = BANDS * ROWS
 BITS = 512
 LANES = BITS // 64
 # Sketches of texts with an estimated similarity below this one are no candidates:
-# more than five standard deviations below 0.8.
-SKETCH_LEAST = 0.6
-FIRST_BANDS = 6
+# four standard deviations below 0.8.
+SKETCH_LEAST = 0.65
 MEMBERS = 256  # members of a star that one part of its comparison holds on average
 CACHE = 300_000
 
@@ -200,12 +201,12 @@ class _Job:
         self.classes = self.stage.write(grouped.withColumn("cls", F.monotonically_increasing_id()))
 
     def buckets(self) -> DataFrame:
-        """(bucket, band, cls, centre) of the buckets with several classes; the centre is drawn anew in each band."""
+        """(bucket, cls, centre) of the buckets with several classes; the centre is drawn anew in each band."""
         rows = self.classes.select("cls", F.posexplode("bands").alias("band", "bucket"))
         drawn = F.min(F.struct(F.xxhash64("cls", "band").alias("h"), "cls"))
         several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), drawn.alias("c")).filter("members > 1")
         joined = rows.join(several.select("bucket", F.col("c.cls").alias("centre")), "bucket")
-        return self.stage.write(joined.select("bucket", "band", "cls", "centre"))
+        return self.stage.write(joined.select("bucket", "cls", "centre"))
 
     def sketched(self, pairs: DataFrame) -> DataFrame:
         """The distinct pairs (a, b) whose sizes allow the similarity and whose sketches are near enough."""
@@ -213,11 +214,14 @@ class _Job:
         a = side.select(*[F.col(c).alias(f"a_{c}") for c in side.columns])
         b = side.select(*[F.col(c).alias(f"b_{c}") for c in side.columns])
         both = pairs.distinct().join(a, F.col("a") == F.col("a_cls")).join(b, F.col("b") == F.col("b_cls"))
-        bits = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(1, LANES)),
-                   F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
-        small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-        sizes = F.lit(self.least[1]) * small >= F.lit(self.least[0]) * large
-        return both.filter(sizes & (bits <= most_differing())).select("a", "b")
+        return both.filter(self.near("a_", "b_")).select("a", "b")
+
+    def near(self, a: str, b: str) -> Column:
+        """Whether the sizes of two classes allow the similarity and their sketches are near enough."""
+        differing = [F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}"))) for i in range(LANES)]
+        bits = functools.reduce(operator.add, differing)
+        small, large = F.least(f"{a}n", f"{b}n"), F.greatest(f"{a}n", f"{b}n")
+        return (F.lit(self.least[1]) * small >= F.lit(self.least[0]) * large) & (bits <= most_differing())
 
     def texts_of(self, needed: DataFrame) -> DataFrame:
         """(cls, x): one text of each class in ``needed`` (cls)."""
@@ -241,6 +245,12 @@ class _Job:
         return self.stage.write(rows.mapInArrow(_similar_stars(self.width, *self.least), "a long, b long"))
 
 
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the root of their ``cls``, which is itself where it has no link."""
+    found = rows.join(roots.select(F.col("id").alias("cls"), "root"), "cls", "left")
+    return found.withColumn("root", F.coalesce("root", "cls"))
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -261,46 +271,38 @@ def near_duplicates(
     job = _Job(docs, doc_id, text, width, least)
     stage = job.stage
     buckets = job.buckets()
-    stars = buckets.filter("cls <> centre").groupBy(F.col("centre").alias("a"), F.col("cls").alias("b")).agg(
-        F.min("band").alias("band")
-    )
-    stars = stage.write(stars)
-    near = stage.write(job.sketched(stars.select("a", "b")).join(stars, ["a", "b"]))
+    stars = buckets.filter("cls <> centre").select(F.col("centre").alias("a"), F.col("cls").alias("b"))
+    near = stage.write(job.sketched(stars))
     texts = job.texts_of(near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))))
-    links = job.confirmed(near.filter(F.col("band") < FIRST_BANDS).select("a", "b"), texts)
-    roots = stage.write(components(stage, links))
-
-    def rooted(pairs: DataFrame, *columns: str) -> DataFrame:
-        for c in columns:
-            r = roots.select(F.col("id").alias(c), F.col("root").alias(f"{c}_root"))
-            pairs = pairs.join(r, c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
-        return pairs
-
-    later = rooted(near.filter(F.col("band") >= FIRST_BANDS).select("a", "b"), "a", "b").filter("a_root <> b_root")
-    links = links.unionByName(job.confirmed(later.select("a", "b"), texts))
+    links = job.confirmed(near, texts)
     roots = stage.write(components(stage, links))
 
     # What is open now: members outside the largest component of their bucket, with all they aren't connected to.
-    placed = stage.write(rooted(buckets.select("bucket", "cls"), "cls"))
-    sizes = placed.groupBy("bucket", "cls_root").agg(F.count(F.lit(1)).alias("m"))
+    # Sizes and sketches are compared in the join itself, so that only near pairs come out of it.
+    placed = stage.write(_rooted(buckets.select("bucket", "cls"), roots))
+    sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("bucket").agg(
-        F.max(F.struct("m", "cls_root")).alias("top"), F.count(F.lit(1)).alias("groups")
-    ).filter("groups > 1").select("bucket", F.col("top.cls_root").alias("top"))
-    mixed = stage.write(placed.join(largest, "bucket"))
-    minor = mixed.filter("cls_root <> top").select("bucket", F.col("cls").alias("a"), F.col("cls_root").alias("a_root"))
-    other = mixed.select(
-        "bucket", F.col("cls").alias("b"), F.col("cls_root").alias("b_root"), (F.col("cls_root") == F.col("top")).alias("major")
-    )
-    open_ = minor.join(other, "bucket").filter("a_root <> b_root and (major or a < b)").select("a", "b")
-    tested = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = stage.write(job.sketched(open_.distinct().join(tested, ["a", "b"], "left_anti")))
+        F.max(F.struct("m", "root")).alias("top"), F.count(F.lit(1)).alias("groups")
+    ).filter("groups > 1").select("bucket", F.col("top.root").alias("top"))
+    sketches = job.classes.select("cls", "n", *(f"s{i}" for i in range(LANES)))
+    mixed = stage.write(placed.join(largest, "bucket").join(sketches, "cls"))
+    minor = mixed.filter("root <> top").select(*[F.col(c).alias(f"a_{c}") for c in mixed.columns])
+    other = mixed.select(*[F.col(c).alias(f"b_{c}") for c in mixed.columns])
+    open_ = F.expr("a_bucket = b_bucket and a_root <> b_root and (b_root = b_top or a_cls < b_cls)")
+    pairs = minor.join(other, open_ & job.near("a_", "b_")).select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b"))
+    tested = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = stage.write(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
     needed = rest.select(F.col("a").alias("cls")).unionByName(rest.select(F.col("b").alias("cls")))
-    links = links.unionByName(job.confirmed(rest, job.texts_of(needed)))
-    roots = stage.write(components(stage, links))
-
-    named = rooted(job.classes.select("key", "id", "cls"), "cls")
-    smallest = named.groupBy("cls_root").agg(F.min("id").alias("component"))
-    by_key = stage.write(named.join(smallest, "cls_root").select("key", "component"))
+    more = job.confirmed(rest, job.texts_of(needed))
+    # Links between components connect their roots.
+    upper = stage.write(components(stage, _rooted(more.select(F.col("a").alias("cls"), "b"), roots).select(
+        F.col("root").alias("a"), F.col("b").alias("cls")
+    ).transform(lambda t: _rooted(t, roots)).select("a", F.col("root").alias("b"))))
+    whole = stage.write(_rooted(_rooted(job.classes.select("key", "id", "cls"), roots).select(
+        "key", "id", F.col("root").alias("cls")
+    ), upper))
+    smallest = whole.groupBy("root").agg(F.min("id").alias("component"))
+    by_key = stage.write(whole.join(smallest, "root").select("key", "component"))
     out = job.signed.select("id", "n", "key").join(by_key, "key", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select(
