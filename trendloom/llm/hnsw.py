@@ -1,7 +1,8 @@
 """Embedding near-duplicates by hierarchical navigable small-world graphs.
 
-Vectors are spread over shards of bounded size; a task builds a shard's graph and
-then streams every vector through it. Searches run side by side for a batch of
+Vectors are spread over shards of bounded size; a task builds a shard's graph,
+which is stored, and every slice of the vectors is searched in every graph, one
+task for each pair of a graph and a slice. Searches run side by side for a batch of
 vectors: each step expands the best open nodes of all beams at once. From what a
 beam finds above the threshold, the search goes on along links until nothing more
 lies above it, so a beam narrower than a group of copies loses none of it. Before a shard
@@ -14,6 +15,7 @@ precision and united into components.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,11 +28,13 @@ from trendloom.plans.staging import Stage
 from ._common import table
 from ._components import components
 
-SHARD = 16_384  # vectors of a graph, on average
+SHARD = 65_536  # vectors of a graph, on average: about 50 MB with 64 dimensions
+SLICE = 16_384  # vectors that one task searches in one graph, on average
+PIECE = 4_000_000  # bytes of a stored row of a graph
 DEGREE = 16  # links a new node makes; up to 3 times as many are kept on the lowest layer
 BEAM = 32  # first width of a search
 BUILD_BEAM = 40
-BATCH = 512
+BATCH = 256
 EXPAND = 4  # nodes of a beam that one step opens
 AUDITS = 256
 RECALL = 0.97
@@ -40,7 +44,7 @@ class Graph:
     """Navigable small-world layers over unit vectors; layer 0 holds all nodes."""
 
     def __init__(self, unit: np.ndarray, seed: int = 7):
-        self.x = np.ascontiguousarray(unit, dtype=np.float32)
+        self._hold(unit)
         n = len(unit)
         draw = np.random.Generator(np.random.PCG64(seed)).random(n)
         level = np.minimum((-np.log(np.maximum(draw, 1e-12)) / math.log(DEGREE)).astype(np.int64), 6)
@@ -61,6 +65,30 @@ class Graph:
             done += len(batch)
             size = min(BATCH, max(1, done // 2))
 
+    def _hold(self, unit: np.ndarray) -> None:
+        self.x = np.ascontiguousarray(unit, dtype=np.float32)
+        self._seen = np.zeros((BATCH, len(unit)), dtype=np.int32)
+        self._base, self._next = 1, 1
+
+    def parts(self) -> dict:
+        """What a stored graph needs besides its vectors: the rows of each layer's members."""
+        members = [np.flatnonzero(self.level >= at) for at in range(len(self.layers))]
+        return {
+            "entry": self.entry, "level": self.level, "members": members,
+            "links": [layer[m] for layer, m in zip(self.layers, members)],
+        }
+
+    @classmethod
+    def of(cls, unit: np.ndarray, parts: dict) -> Graph:
+        graph = cls.__new__(cls)
+        graph._hold(unit)
+        graph.entry, graph.level, graph.layers = parts["entry"], parts["level"], []
+        for members, links in zip(parts["members"], parts["links"]):
+            whole = np.full((len(unit), links.shape[1]), -1, dtype=np.int32)
+            whole[members] = links
+            graph.layers.append(whole)
+        return graph
+
     def _insert(self, batch: np.ndarray) -> None:
         """Links a batch of nodes: each searches what is there and looks through the batch itself."""
         q = self.x[batch]
@@ -139,15 +167,14 @@ class Graph:
             out = np.concatenate([out, np.full((len(out), most - out.shape[1]), -1, dtype=out.dtype)], axis=1)
         return out.astype(np.int32)
 
-    def _beam(self, layer: int, q: np.ndarray, entries: np.ndarray, width: int, seen: np.ndarray | None = None):
+    def _beam(self, layer: int, q: np.ndarray, entries: np.ndarray, width: int):
         """(ids, similarities), best first, of a beam search for each row of ``q``; -1 where a beam isn't full."""
         links, n = self.layers[layer], len(q)
-        if seen is None:
-            seen = np.full((n, len(self.x)), -1, dtype=np.int32)
+        self._forget()
         ids = np.full((n, width), -1, dtype=np.int32)
         sims = np.full((n, width), -np.inf, dtype=np.float32)
         row, column = np.nonzero(entries >= 0)
-        row, node = self._fresh(seen, row, entries[row, column])
+        row, node = self._fresh(row, entries[row, column])
         open_ = np.zeros((n, width), dtype=bool)
         while len(row):
             found = np.einsum("ij,ij->i", self.x[node], q[row])
@@ -171,17 +198,24 @@ class Graph:
             open_[take] = False
             near = links[ids[at, column]]
             i, k = np.nonzero(near >= 0)
-            row, node = self._fresh(seen, at[i], near[i, k])
+            row, node = self._fresh(at[i], near[i, k])
         return ids, sims
 
-    @staticmethod
-    def _fresh(seen: np.ndarray, row: np.ndarray, node: np.ndarray):
-        """Pairs met for the first time, sorted by row; they are marked as seen."""
-        new = seen[row, node] < 0
+    def _forget(self) -> None:
+        """From now on no pair counts as seen: older stamps lie below the base."""
+        if self._next > 1 << 30:
+            self._seen[:] = 0
+            self._next = 1
+        self._base = self._next
+
+    def _fresh(self, row: np.ndarray, node: np.ndarray):
+        """Pairs met for the first time, in their order; they are marked as seen."""
+        new = self._seen[row, node] < self._base
         row, node = row[new], node[new]
-        stamp = np.arange(len(row), dtype=np.int32)
-        seen[row, node] = stamp
-        one = seen[row, node] == stamp  # of a pair that came twice, the last
+        stamp = np.arange(self._next, self._next + len(row), dtype=np.int32)
+        self._next += len(row)
+        self._seen[row, node] = stamp
+        one = self._seen[row, node] == stamp  # of a pair that came twice, the last
         return row[one], node[one]
 
     def within(self, q: np.ndarray, least: float, width: int, own: np.ndarray | None = None):
@@ -195,19 +229,18 @@ class Graph:
             entries, _ = self._beam(layer, q, entries, 8)
         if own is not None:
             entries = np.concatenate([entries, own[:, None].astype(np.int32)], axis=1)
-        seen = np.full((len(q), len(self.x)), -1, dtype=np.int32)
-        ids, sims = self._beam(0, q, entries, max(width, entries.shape[1]), seen)
+        ids, sims = self._beam(0, q, entries, max(width, entries.shape[1]))
         row, column = np.nonzero(sims >= least - 1e-5)
         node = ids[row, column]
         rows, nodes = [row], [node]
         # Beyond the beam: what links lead to from a find, as long as it lies above the threshold itself. Nodes that
         # the beam has let go are looked at again.
-        seen[:] = -1
-        seen[row, node] = 1
+        self._forget()
+        row, node = self._fresh(row, node)
         while len(row):
             near = self.layers[0][node]
             i, k = np.nonzero(near >= 0)
-            row, node = self._fresh(seen, row[i], near[i, k])
+            row, node = self._fresh(row[i], near[i, k])
             near_enough = np.einsum("ij,ij->i", self.x[node], q[row]) >= least - 1e-5
             row, node = row[near_enough], node[near_enough]
             rows.append(row)
@@ -233,7 +266,10 @@ class Graph:
         due = np.argwhere(probes @ self.x.T >= least)
         due = set(map(tuple, due.tolist()))
         while width < n:
-            got = set(zip(*(a.tolist() for a in self.within(probes, least, width))))
+            got = set()
+            for i in range(0, audits, BATCH):
+                row, node = self.within(probes[i : i + BATCH], least, width)
+                got |= set(zip((row + i).tolist(), node.tolist()))
             if len(got & due) >= recall * len(due):
                 break
             width *= 2
@@ -290,7 +326,7 @@ def near_vectors(
     by_length = classes.groupBy(F.size("x").alias("d")).count().collect()  # one row for each length of vectors
     found = None
     for length, n in sorted((r[0], r[1]) for r in by_length):
-        part = _search(classes.filter(F.size("x") == length), max(1, -(-n // shard)), least, recall)
+        part = _search(stage, classes.filter(F.size("x") == length), n, shard, least, recall)
         found = part if found is None else found.unionByName(part)
     if found is None:
         out = rows.select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("component"))
@@ -314,73 +350,118 @@ def near_vectors(
     )
 
 
-def _search(classes: DataFrame, shards: int, least: float, recall: float) -> DataFrame:
+def _matrix(part: pa.RecordBatch, column: int) -> np.ndarray:
+    """The vectors of a batch, scaled by their largest component, so that squares stay in range."""
+    x = part.column(column).flatten().to_numpy().reshape(part.num_rows, -1)
+    return x / np.abs(x).max(axis=1, keepdims=True)
+
+
+def _runs(batch: pa.RecordBatch, keys: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a sorted batch with equal values in the first ``keys`` columns."""
+    columns = [batch.column(i).to_numpy() for i in range(keys)]
+    cut = np.zeros(max(0, batch.num_rows - 1), dtype=bool)
+    for c in columns:
+        cut |= c[1:] != c[:-1]
+    ends = [0, *(np.flatnonzero(cut) + 1).tolist(), batch.num_rows]
+    for a, b in zip(ends[:-1], ends[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def _search(stage: Stage, classes: DataFrame, n: int, shard: int, least: float, recall: float) -> DataFrame:
     """(a, b, n): links that connect what is linked (b a class), and how many rows a class links with in a shard (b = -1)."""
+    shards, slices = -(-n // shard), -(-n // SLICE)
     own: Column = F.pmod(F.xxhash64("cls"), F.lit(shards))
-    stored = classes.select(own.alias("shard"), F.lit(0).alias("query"), "cls", "times", "x")
-    queries = classes.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("query"), "cls", "times", "x"
-    )
 
-    def matrix(part: pa.RecordBatch) -> np.ndarray:
-        return part.column(4).flatten().to_numpy().reshape(part.num_rows, -1)
+    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+
+        def stored() -> Iterator[pa.RecordBatch]:
+            cls, times = (np.concatenate([p.column(c).to_numpy() for p in held]) for c in (1, 2))
+            order = np.argsort(cls)  # the same graph, whatever order the rows came in
+            whole = np.concatenate([_matrix(p, 3) for p in held])[order]
+            norms = np.sqrt((whole**2).sum(axis=1))
+            graph = Graph(whole / norms[:, None])
+            state = {
+                "cls": cls[order], "times": times[order], "whole": whole, "norms": norms,
+                "width": graph.audited_width(least, recall), "graph": graph.parts(),
+            }
+            data = pickle.dumps(state)
+            for i in range(0, len(data), PIECE):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([current]), pa.array([i // PIECE]), pa.array([data[i : i + PIECE]], type=pa.binary())],
+                    names=["shard", "piece", "data"],
+                )
+
+        for batch in batches:
+            for part in _runs(batch, 1):
+                key = part.column(0)[0].as_py()
+                if key != current and held:
+                    yield from stored()
+                    held = []
+                current = key
+                held.append(part)
+        if held:
+            yield from stored()
+
+    rows = classes.select(own.alias("shard"), "cls", "times", "x").repartition("shard").sortWithinPartitions("shard")
+    graphs = stage.write(rows.mapInArrow(built, "shard long, piece long, data binary"))
+    # Every slice meets every graph: the pieces of a graph come first, then the slice's vectors.
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))
+    stored_ = graphs.select("shard", every.alias("slice"), "piece", "data", F.lit(None).cast("long").alias("cls"), F.lit(None).cast("array<double>").alias("x"))
+    asked = classes.select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
+        F.pmod(F.xxhash64("cls", F.lit(1)), F.lit(slices)).alias("slice"),
+        F.lit(1 << 40).alias("piece"), F.lit(None).cast("binary").alias("data"), "cls", "x",
+    )
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held, graph = None, [], None
-        cls = times = whole = norms = width = by_cls = None
+        current, pieces, graph, state = None, [], None, {}
         for batch in batches:
-            keys = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                if a == b:
-                    continue
-                part, key = batch.slice(a, b - a), int(keys[a])
-                if key // 2 != current:
-                    current, held, graph = key // 2, [], None
-                if key % 2 == 0:
-                    held.append(part)
+            for part in _runs(batch, 3):
+                key = (part.column(0)[0].as_py(), part.column(1)[0].as_py())
+                if key != current:
+                    current, pieces, graph = key, [], None
+                if part.column(2)[0].as_py() < 1 << 40:
+                    pieces += part.column(3).to_pylist()
                     continue
                 if graph is None:
-                    if not held:
+                    if not pieces:
                         continue  # a shard without vectors
-                    cls = np.concatenate([p.column(2).to_numpy() for p in held])
-                    times = np.concatenate([p.column(3).to_numpy() for p in held])
-                    whole = np.concatenate([matrix(p) for p in held])
-                    order = np.argsort(cls)  # the same graph, whatever order the rows came in
-                    cls, times, whole = cls[order], times[order], whole[order]
-                    whole = whole / np.abs(whole).max(axis=1, keepdims=True)
-                    norms = np.sqrt((whole**2).sum(axis=1))
-                    graph, held = Graph(whole / norms[:, None]), []
-                    width = graph.audited_width(least, recall)
-                    by_cls = cls
+                    state = pickle.loads(b"".join(pieces))
+                    graph, pieces = Graph.of(state["whole"] / state["norms"][:, None], state["graph"]), []
                 for i in range(0, part.num_rows, BATCH):
                     some = part.slice(i, BATCH)
-                    q_cls, q = some.column(2).to_numpy(), matrix(some)
-                    q = q / np.abs(q).max(axis=1, keepdims=True)
-                    q_norm = np.sqrt((q**2).sum(axis=1))
-                    at = np.minimum(np.searchsorted(by_cls, q_cls), len(by_cls) - 1)
-                    itself = np.where(by_cls[at] == q_cls, at, -1)
-                    row, node = graph.within(q / q_norm[:, None], least, width, itself)
-                    other = node != itself[row]
-                    row, node = row[other], node[other]
-                    cosine = np.einsum("ij,ij->i", q[row], whole[node]) / (q_norm[row] * norms[node])
-                    row, node = row[cosine >= least], node[cosine >= least]
-                    linked = np.bincount(row, weights=times[node], minlength=len(q)).astype(np.int64)
-                    some_linked = np.flatnonzero(linked)
-                    forest = _forest(zip(q_cls[row].tolist(), cls[node].tolist()))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([*q_cls[some_linked].tolist(), *(p[0] for p in forest)], type=pa.int64()),
-                            pa.array([-1] * len(some_linked) + [p[1] for p in forest], type=pa.int64()),
-                            pa.array([*linked[some_linked].tolist(), *(0 for _ in forest)], type=pa.int64()),
-                        ],
-                        names=["a", "b", "n"],
-                    )
-
-    placed = stored.unionByName(queries).repartition("shard").sortWithinPartitions("shard", "query")
+                    yield _linked(graph, state, some.column(4).to_numpy(), _matrix(some, 5), least)
+
+    placed = stored_.unionByName(asked).repartition("shard", "slice").sortWithinPartitions("shard", "slice", "piece")
     return placed.mapInArrow(searched, "a long, b long, n long")
 
 
+def _linked(graph: Graph, state: dict, q_cls: np.ndarray, q: np.ndarray, least: float) -> pa.RecordBatch:
+    """What a batch of vectors links with in one graph, confirmed in double precision."""
+    cls, times, whole, norms = state["cls"], state["times"], state["whole"], state["norms"]
+    q_norm = np.sqrt((q**2).sum(axis=1))
+    at = np.minimum(np.searchsorted(cls, q_cls), len(cls) - 1)
+    itself = np.where(cls[at] == q_cls, at, -1)
+    row, node = graph.within(q / q_norm[:, None], least, state["width"], itself)
+    other = node != itself[row]
+    row, node = row[other], node[other]
+    cosine = np.einsum("ij,ij->i", q[row], whole[node]) / (q_norm[row] * norms[node])
+    row, node = row[cosine >= least], node[cosine >= least]
+    linked = np.bincount(row, weights=times[node], minlength=len(q)).astype(np.int64)
+    some = np.flatnonzero(linked)
+    forest = _forest(zip(q_cls[row].tolist(), cls[node].tolist()))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([*q_cls[some].tolist(), *(p[0] for p in forest)], type=pa.int64()),
+            pa.array([-1] * len(some) + [p[1] for p in forest], type=pa.int64()),
+            pa.array([*linked[some].tolist(), *(0 for _ in forest)], type=pa.int64()),
+        ],
+        names=["a", "b", "n"],
+    )
+
+
 def op6_hnsw_near_dup(spark, sf_dir):
     """All embeddings, linked at a cosine of 0.9."""
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
