@@ -160,7 +160,7 @@ stats AS (SELECT *, {rnd('0.25 * normalized_spike + 0.25 * cross_community + 0.2
 BLOCKS["newest"] = "newest AS (SELECT * FROM stats WHERE window_id = 0)"
 
 BLOCKS["entries"] = f"""dwords AS (
-  SELECT source, string_split({norm("left(text, 80) || ' ' || substr(text, 81, 400)")}, ' ') AS w FROM documents),
+  SELECT source, string_split({norm("left(text, 80) || ' ' || substr(text, 81)")}, ' ') AS w FROM documents),
 singles AS (
   SELECT raw FROM (SELECT DISTINCT source, unnest(w) AS raw FROM dwords) WHERE length(raw) >= 4
   GROUP BY raw HAVING count(*) BETWEEN 3 AND 8 OR raw IN ('with', 'this', 'from')),
@@ -302,8 +302,7 @@ FEED = """raw AS (
       WHEN 'de' THEN strftime(tm, '%Y-%m-%dT%H:%M:%S+02:00') WHEN 'fr' THEN strftime(tm, '%d %b %Y %H:%M:%S GMT')
       ELSE 'yesterday' END AS published_at,
     'https://example.com/d/' || doc_id AS url, 0.0::DOUBLE AS engagement_score, '{}' AS metrics_json
-  FROM (SELECT *, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (doc_id % 40) AS tm FROM documents
-        QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 100)
+  FROM (SELECT *, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (doc_id % 40) AS tm FROM documents)
   WHERE NOT ((lang = 'en' AND tm < '2024-01-10') OR (lang = 'de' AND tm - INTERVAL 2 HOUR < '2024-01-10')))"""
 
 STORIES = """raw AS (
@@ -324,7 +323,7 @@ NEWS = """raw AS (
     host AS author, host AS community, 'Mon, 01 Jan 2024 10:00:00 GMT' AS published_at, url,
     0.0::DOUBLE AS engagement_score, '{}' AS metrics_json
   FROM (SELECT *, regexp_extract(url, '://([^/]+)/', 1) AS host, regexp_extract(url, '\\.example\\.([a-z]+)/', 1) AS q
-        FROM pages QUALIFY row_number() OVER (PARTITION BY q ORDER BY page_id) <= 100))"""
+        FROM pages))"""
 
 RECORD_COLUMNS = (
     "mention_id, source, platform, sub_source, source_type, keyword, query, title, text, full_text, author, "
@@ -367,7 +366,7 @@ NEEDS["clusters"] = ["knn"]
 BLOCKS["contexts"] = values("contexts", "label, ctext", V.CONTEXTS)
 BLOCKS["context_scores"] = f"""tf AS (
   SELECT mention_id, word, count(*) AS tf FROM (
-    SELECT mention_id, unnest(string_split({norm("title || ' ' || left(text, 500)")}, ' ')) AS word FROM mentions)
+    SELECT mention_id, unnest(string_split({norm("title || ' ' || text")}, ' ')) AS word FROM mentions)
   WHERE word <> '' GROUP BY ALL),
 idf AS (
   SELECT word, ln(((SELECT count(*) FROM mentions) + 1) / (count(*) + 1)) + 1 AS idf FROM tf GROUP BY 1),

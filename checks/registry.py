@@ -691,7 +691,8 @@ def display_name(spark, sf):
     "content_dedup",
     O.sql(
         f"""SELECT event_id, h AS content_hash FROM (SELECT *, sha256(concat_ws('||', {O.norm('title')}, {O.norm("coalesce(text, '')")})) AS h
-        FROM collected) QUALIFY row_number() OVER (PARTITION BY h ORDER BY published_at, event_id) = 1""",
+        FROM collected) QUALIFY row_number() OVER (PARTITION BY h,
+          CASE WHEN {O.norm('title')} || {O.norm("coalesce(text, '')")} = '' THEN mention_id END ORDER BY published_at, event_id) = 1""",
         "collected",
     ),
 )
@@ -705,7 +706,8 @@ def content_dedup(spark, sf):
     O.sql(
         """SELECT strftime(day, '%Y-%m-%d') AS day, source, coalesce(n, 0)::BIGINT AS row_count,
           CASE WHEN coalesce(n, 0) = 0 THEN 'empty' WHEN n < 60 THEN 'low' ELSE 'ok' END AS status
-        FROM (SELECT DISTINCT published_at::DATE AS day FROM collected)
+        FROM (SELECT unnest(generate_series(min(published_at)::DATE, max(published_at)::DATE, INTERVAL 1 DAY))::DATE AS day
+              FROM collected)
         CROSS JOIN (SELECT DISTINCT source FROM collected UNION SELECT 'never') x
         LEFT JOIN (SELECT published_at::DATE AS day, source, count(*) AS n FROM collected GROUP BY ALL) USING (day, source)""",
         "collected",
@@ -725,6 +727,87 @@ def date_range(spark, sf):
     return Q.date_range(V.events(spark, sf), "2024-01-05", "2024-01-12", "ts").select("event_id")
 
 
+def _stored(spark, sf):
+    """Feed records as the store holds them: dates are ISO, RFC-822 or junk texts, some empty."""
+    made = G.make_mentions(N.normalize_feed_entries(V.feed_entries(spark, sf), "2024-01-10"))
+    late = F.when(F.length("text") % 5 == 0, "").otherwise(F.col("published_at"))
+    return made.withColumn("published_at", late).withColumn("collected_at", F.lit(None).cast("timestamp"))
+
+
+_DATED = f"""dated AS (
+  SELECT *, CASE WHEN length(text) % 5 = 0 THEN NULL WHEN author = 'en' THEN tm WHEN author = 'de' THEN tm - INTERVAL 2 HOUR
+    WHEN author = 'fr' THEN tm END AS seen_at FROM (
+    SELECT r.*, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (regexp_extract(url, '[0-9]+$')::BIGINT % 40) AS tm FROM record r))"""
+
+
+def _dated(final: str) -> str:
+    return f"WITH {O.FEED},\n{O.BLOCKS['record']},\n{_DATED}\n{final}"
+
+
+@register(
+    "cap_stored",
+    _dated(
+        """SELECT mention_id, community FROM (SELECT * FROM dated QUALIFY row_number() OVER (
+          PARTITION BY community ORDER BY seen_at DESC NULLS LAST, mention_id) <= 7)"""
+    ),
+)
+def cap_stored(spark, sf):
+    return G.cap_per_group(_stored(spark, sf), "community", 7).select("mention_id", "community")
+
+
+@register(
+    "cap_stored_total",
+    _dated(
+        """SELECT mention_id, community FROM (SELECT * FROM dated QUALIFY row_number() OVER (
+          PARTITION BY community ORDER BY seen_at DESC NULLS LAST, mention_id) <= 7) ORDER BY seen_at DESC NULLS LAST, mention_id LIMIT 50"""
+    ),
+)
+def cap_stored_total(spark, sf):
+    return G.cap_per_group(_stored(spark, sf), "community", 7, 50).select("mention_id", "community")
+
+
+@register(
+    "volume_checks_stored",
+    _dated(
+        """SELECT strftime(day, '%Y-%m-%d') AS day, community AS source, coalesce(n, 0)::BIGINT AS row_count,
+          CASE WHEN coalesce(n, 0) = 0 THEN 'empty' WHEN n < 2 THEN 'low' ELSE 'ok' END AS status
+        FROM (SELECT unnest(generate_series(min(seen_at)::DATE, max(seen_at)::DATE, INTERVAL 1 DAY))::DATE AS day FROM dated)
+        CROSS JOIN (SELECT DISTINCT community FROM dated)
+        LEFT JOIN (SELECT seen_at::DATE AS day, community, count(*) AS n FROM dated GROUP BY ALL) USING (day, community)"""
+    ),
+)
+def volume_checks_stored(spark, sf):
+    rows = _stored(spark, sf).withColumn("source", F.col("community"))
+    return Q.volume_checks(rows, rows.select("source"), 2).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@register("date_range_stored", _dated("SELECT mention_id FROM dated WHERE seen_at >= '2024-01-12' AND seen_at < '2024-01-20'"))
+def date_range_stored(spark, sf):
+    return Q.date_range(_stored(spark, sf), "2024-01-12", "2024-01-19").select("mention_id")
+
+
+@register(
+    "stream_weekly_stored",
+    _dated(
+        """SELECT strftime(date_trunc('week', seen_at), '%Y-%m-%d') AS week, community AS category, count(*) AS mentions
+        FROM dated WHERE seen_at IS NOT NULL
+          AND date_trunc('week', seen_at) + INTERVAL 7 DAY <= (SELECT max(seen_at) FROM dated) - INTERVAL 10 DAY GROUP BY ALL"""
+    ),
+)
+def stream_weekly_stored(spark, sf):
+    """Weeks that the watermark has closed, from stored records, in append mode into files."""
+    base = V.scratch(spark)
+    rows = _stored(spark, sf).withColumn("category", F.col("community"))
+    rows.write.parquet(base + "/landed")
+    source = M.read_mention_stream(spark, base + "/landed", max_files=1000)
+    query = (
+        M.stream_weekly(source, late_by="10 days").writeStream.outputMode("append").format("parquet")
+        .option("path", base + "/weeks").option("checkpointLocation", base + "/state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema("week string, category string, mentions bigint").parquet(base + "/weeks")
+
+
 # --- vectors and clusters ---------------------------------------------------
 
 
@@ -735,7 +818,7 @@ def _vectors(spark, sf):
 @register(
     "unit_vectors",
     """SELECT vec_id, round_even(list_sum(list_transform(u, lambda x: x * x)) * 1e4, 0) / 1e4 AS length,
-      round_even(u[1] * 1e4, 0) / 1e4 + 0.0 AS first_value
+      list_transform(u, lambda x: round_even(x * 1e4, 0) / 1e4 + 0.0) AS values
     FROM (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u
           FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings))""",
 )
@@ -745,7 +828,7 @@ def unit_vectors(spark, sf):
     return u.select(
         "vec_id",
         X.np_round(total, 4).alias("length"),
-        X.np_round(F.col("embedding")[0].cast("double"), 4).alias("first_value"),
+        F.transform("embedding", lambda x: X.np_round(x.cast("double"), 4) + F.lit(0.0)).alias("values"),
     )
 
 
@@ -852,8 +935,10 @@ def sentiment_rules(spark, sf):
 @register(
     "business_context",
     O.sql(
-        """SELECT mention_id, label AS business_context_label, score AS semantic_relevance_score FROM context_scores
-        QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, label DESC) = 1""",
+        """SELECT DISTINCT m.mention_id, coalesce(label, '') AS business_context_label,
+          coalesce(score, 0) AS semantic_relevance_score
+        FROM mentions m LEFT JOIN (SELECT * FROM context_scores
+          QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, label DESC) = 1) USING (mention_id)""",
         "context_scores",
     ),
 )
@@ -952,7 +1037,7 @@ def stream_weekly(spark, sf):
 
 @register(
     "vector_store",
-    """SELECT vec_id, len(embedding)::INTEGER AS dims, round_even(embedding[2]::DOUBLE * 1e4, 0) / 1e4 + 0.0 AS second_value
+    """SELECT vec_id, len(embedding)::INTEGER AS dims, list_transform(embedding, lambda x: x::DOUBLE) AS values
     FROM embeddings""",
 )
 def vector_store(spark, sf):
@@ -962,5 +1047,5 @@ def vector_store(spark, sf):
     return stored.select(
         "vec_id",
         F.size("embedding").alias("dims"),
-        X.np_round(F.col("embedding")[1].cast("double"), 4).alias("second_value"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("values"),
     )

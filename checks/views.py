@@ -6,7 +6,7 @@ so on are derived from the given tables by Spark, so they grow with them.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trendloom.functions import norm_text, stable_hash
 from trendloom.operators.sentiment import sentiment_scores
+from trendloom.plans.staging import shared_folder
 from trendloom.session import configure
 
 # Small parameters of the checks (own words picked from the synthetic texts).
@@ -30,18 +31,9 @@ KNOWN = ["with", "from"]
 NOISE = ["this", "from", "une", "et", "du", "de", "la", "les"]
 
 
-# Rows of these tables grow into many (words, n-grams): where a table comes in
-# fewer splits than there are cores, as one small file does, it is dealt out.
-DEALT = {"events": "event_id", "documents": "doc_id", "embeddings": "vec_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in DEALT and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, DEALT[name])
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,9 +127,7 @@ def brand_lists(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     are added by frequency rules of the filters, not by hand.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    head = docs.select(
-        "source", F.split(norm_text(F.concat(_title(), F.lit(" "), F.substring("text", 81, 400))), " ").alias("w")
-    )
+    head = docs.select("source", F.split(norm_text(F.concat(_title(), F.lit(" "), _body())), " ").alias("w"))
     singles = (
         head.select("source", F.explode("w").alias("raw"))
         .filter(F.length("raw") >= 4)
@@ -174,14 +164,7 @@ def brand_lists(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for a written table: on the shared folder where one is configured."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base:
-        import uuid
-
-        return f"{base.rstrip('/')}/checks-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="trendloom-checks-")
+    return f"{shared_folder(spark)}/checks-{uuid.uuid4().hex}"
 
 
 # --- raw collector rows -----------------------------------------------------

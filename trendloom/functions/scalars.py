@@ -68,8 +68,9 @@ def first_truthy(*cols: Column | str) -> Column:
     return F.coalesce(*[F.nullif(_col(c), F.lit("")) for c in cols], F.lit(""))
 
 
-def head(c: Column | str, n: int) -> Column:
-    return F.substring(_col(c), 1, n)
+def head(c: Column | str, n: int | None) -> Column:
+    """The first ``n`` characters; the whole text where ``n`` is None."""
+    return _col(c) if n is None else F.substring(_col(c), 1, n)
 
 
 def norm_text(c: Column | str) -> Column:

@@ -54,3 +54,8 @@ def day_bounds(day: Column | str) -> tuple[Column, Column]:
 def week_start(ts: Column | str) -> Column:
     """Monday of the week as yyyy-MM-dd."""
     return F.date_format(F.date_trunc("week", _col(ts)), "yyyy-MM-dd")
+
+
+def event_time(df, name: str = "published_at") -> Column:
+    """The column as a timestamp: text, as records store it, is parsed; unknown and empty dates are null."""
+    return parse_published_at(name) if dict(df.dtypes)[name] == "string" else F.col(name).cast("timestamp")

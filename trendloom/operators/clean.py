@@ -55,15 +55,15 @@ def clean_report(
     df: DataFrame, min_len: int = MIN_LENGTH, order: list[Column | str] | None = None
 ) -> DataFrame:
     """One row: raw rows, rows after dedup, rows after the length filter."""
-    raw = df.groupBy("mention_id").agg(F.count(F.lit(1)).alias("_n"))
-    kept = dedup_mentions(df.select("mention_id", "title", "text", *_narrow(df, order)), order).select(
-        "mention_id", (F.length(ner_input()) >= min_len).cast("bigint").alias("_long")
-    )
-    # both sides have one row per id
-    return raw.join(kept, "mention_id").agg(
-        F.sum("_n").alias("raw_rows"),
-        F.count(F.lit(1)).alias("deduped_rows"),
-        F.sum("_long").alias("kept_rows"),
+    # One scan and one shuffle of narrow rows: the copies of an id are counted as the first one's length is found.
+    long_ = (F.length(ner_input()) >= min_len).cast("bigint")
+    rows = df.select("mention_id", long_.alias("_long"), *_narrow(df, order))
+    first = Window.partitionBy("mention_id").orderBy(*_order(df, order))
+    each = rows.withColumn("_copy", F.row_number().over(first))
+    return each.agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count(F.when(F.col("_copy") == 1, 1)).alias("deduped_rows"),
+        F.sum(F.when(F.col("_copy") == 1, F.col("_long"))).alias("kept_rows"),
     )
 
 

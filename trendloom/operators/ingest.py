@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import or_empty, stable_hash, strip
+from ..functions.timefns import event_time
 from ..plans.sizing import fits_broadcast, lookup_join
 from ..schema import MENTIONS
 from .clean import dedup_mentions
@@ -83,10 +84,10 @@ def cap_per_group(
 
     The cap is exact. Above ``GROUP_LIMIT`` each group is first cut to its
     leading ``n`` rows within hash-salted parts, so that a hot group is never
-    sorted whole in one task.
+    sorted whole in one task. Dates may be timestamps or the texts that records hold.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    by = list(order) if order else [F.desc_nulls_last("published_at"), F.asc("mention_id")]
+    by = list(order) if order else [event_time(df).desc_nulls_last(), F.asc("mention_id")]
 
     def first_n(frame: DataFrame, parts: list[str]) -> DataFrame:
         w = Window.partitionBy(*parts).orderBy(*by)
@@ -109,8 +110,8 @@ def _since_hour_of(df: DataFrame, total: int) -> DataFrame:
     than ``total`` rows instead of ``total`` rows per task.
     """
     hours = (
-        df.filter(F.col("published_at").isNotNull())
-        .groupBy(F.date_trunc("hour", F.col("published_at").cast("timestamp")).alias("hour"))
+        df.select(F.date_trunc("hour", event_time(df)).alias("hour")).filter("hour is not null")
+        .groupBy("hour")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     newest_first = Window.orderBy(F.desc("hour"))
@@ -122,7 +123,7 @@ def _since_hour_of(df: DataFrame, total: int) -> DataFrame:
     )
     if cut is None:
         return df
-    return df.filter(F.col("published_at").cast("timestamp") >= F.timestamp_seconds(F.lit(cut)))
+    return df.filter(event_time(df) >= F.timestamp_seconds(F.lit(cut)))
 
 
 def ingest_summary(df: DataFrame) -> DataFrame:

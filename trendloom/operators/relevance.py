@@ -16,69 +16,64 @@ from ..session import staged
 MIN_RELEVANCE = 0.015
 KEEP_SCORE = 0.18
 PRIORITY_BOOST = 0.3
-TEXT_CHARS = 500
 
 
-def _word_counts(df: DataFrame, id_col: str, text) -> DataFrame:
-    words = df.select(id_col, F.explode(F.split(norm_text(text), " ")).alias("word"))
-    return words.filter(F.col("word") != "").groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf"))
+def _words(text):
+    """Normalised words of a text as an array."""
+    return F.filter(F.split(norm_text(text), " "), lambda w: w != "")
 
 
 def context_scores(
-    df: DataFrame, contexts: DataFrame, max_chars: int = TEXT_CHARS, id_col: str = "mention_id"
+    df: DataFrame, contexts: DataFrame, max_chars: int | None = None, id_col: str = "mention_id"
 ) -> DataFrame:
     """``(id, label, score)``: cosine of every post with every context it shares a word with.
 
     ``contexts(label, text)`` is a short list of reference texts. Inverse document
-    frequencies come from the posts: ln((n + 1) / (df + 1)) + 1.
+    frequencies come from the posts: ln((n + 1) / (df + 1)) + 1. Whole texts count
+    unless ``max_chars`` is given. The words of a post are counted within its task:
+    one shuffle by word for the document frequencies, one by post for the sums.
     """
     text = F.concat(or_empty("title"), F.lit(" "), head(or_empty("text"), max_chars))
-    counts = _word_counts(df, id_col, text)
+    posts = df.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"), _words(text).alias("_w"))
     n = df.count()
-    seen = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    # the vocabulary is read three times below
-    weights = staged(
-        seen.select("word", (F.log(F.lit(float(n + 1)) / (F.col("df") + 1)) + 1.0).alias("idf"))
-    )
+    seen = posts.select(F.explode(F.array_distinct("_w")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    weights = staged(seen.select("word", (F.log(F.lit(float(n + 1)) / (F.col("df") + 1)) + 1.0).alias("idf")))
     unseen = F.lit(F.log(F.lit(float(n + 1))) + 1.0)
     refs = (
-        _word_counts(contexts, "label", F.col("text"))
+        contexts.select("label", F.explode(_words(F.col("text"))).alias("word"))
+        .groupBy("label", "word").agg(F.count(F.lit(1)).alias("tf"))
         .join(weights, "word", "left")
         .select("label", "word", (F.col("tf") * F.coalesce("idf", unseen)).alias("ref"))
     )
-    ref_norm = refs.groupBy("label").agg(F.sqrt(F.sum(F.col("ref") * F.col("ref"))).alias("ref_norm"))
-    refs = refs.join(ref_norm, "label")
-    weighted = lookup_join(counts, weights, "word", "inner", spread_by=id_col).select(
-        id_col, "word", (F.col("tf") * F.col("idf")).alias("w")
-    )
-    by_word = refs.groupBy("word").agg(
+    refs = staged(refs)  # words of a few texts
+    norms = refs.groupBy("label").agg(F.sqrt(F.sum(F.col("ref") * F.col("ref"))).alias("ref_norm"))
+    by_word = refs.join(norms, "label").groupBy("word").agg(
         F.collect_list(F.struct("label", "ref", "ref_norm")).alias("refs")
     )
-    # one pass: the norm needs all words, the products only the shared ones
-    matched = lookup_join(weighted, by_word, "word", "left", spread_by=id_col)
-    norms = F.sum(F.when(F.col("label").isNull(), F.col("w") * F.col("w")))
+    terms = posts.select("_id", "_row", F.explode("_w").alias("word")).groupBy("_id", "_row", "word").agg(F.count(F.lit(1)).alias("tf"))
+    weighted = lookup_join(terms, weights, "word", "inner", spread_by="_row").select(
+        "_id", "_row", "word", (F.col("tf") * F.col("idf")).alias("w")
+    )
+    # One pass: the norm needs all words, the products only the shared ones.
+    matched = lookup_join(weighted, by_word, "word", "left", spread_by="_row")
     none = F.array(F.struct(*[F.lit(None).cast(t).alias(c) for c, t in
                               (("label", "string"), ("ref", "double"), ("ref_norm", "double"))]))
     rows = matched.select(
-        id_col, "w", F.explode(F.concat(none, F.coalesce("refs", F.array_except(none, none)))).alias("r")
-    ).select(id_col, "w", "r.*")
-    sums = rows.groupBy(id_col, "label").agg(
-        norms.alias("norm2"),
+        "_id", "_row", "w", F.explode(F.concat(none, F.coalesce("refs", F.array_except(none, none)))).alias("r")
+    ).select("_id", "_row", "w", "r.*")
+    sums = rows.groupBy("_id", "_row", "label").agg(
+        F.sum(F.when(F.col("label").isNull(), F.col("w") * F.col("w"))).alias("norm2"),
         F.sum(F.col("w") * F.col("ref")).alias("dot"),
         F.max("ref_norm").alias("ref_norm"),
     )
+    # At most one entry per context.
+    entry = F.when(F.col("label").isNotNull(), F.struct("label", "dot", "ref_norm"))
     return (
-        sums.groupBy(id_col)
-        .agg(
-            F.max("norm2").alias("norm2"),
-            # at most one entry per context
-            F.collect_list(
-                F.when(F.col("label").isNotNull(), F.struct("label", "dot", "ref_norm"))
-            ).alias("found"),
-        )
-        .select(id_col, "norm2", F.explode("found").alias("f"))
+        sums.groupBy("_id", "_row")
+        .agg(F.max("norm2").alias("norm2"), F.collect_list(entry).alias("found"))
+        .select("_id", "norm2", F.explode("found").alias("f"))
         .select(
-            id_col,
+            F.col("_id").alias(id_col),
             F.col("f.label").alias("label"),
             np_round(F.col("f.dot") / (F.sqrt("norm2") * F.col("f.ref_norm")), 6).alias("score"),
         )
@@ -86,12 +81,17 @@ def context_scores(
 
 
 def business_context(df: DataFrame, contexts: DataFrame, id_col: str = "mention_id") -> DataFrame:
-    """``(id, business_context_label, semantic_relevance_score)``: best context of each post."""
+    """``(id, business_context_label, semantic_relevance_score)``: best context of each post.
+
+    A post that shares no word with a context keeps the defaults of a record: an
+    empty label and a score of 0.
+    """
     best = F.max(F.struct(F.col("score"), F.col("label")))
-    return context_scores(df, contexts, id_col=id_col).groupBy(id_col).agg(best.alias("b")).select(
+    found = context_scores(df, contexts, id_col=id_col).groupBy(id_col).agg(best.alias("b"))
+    return df.select(id_col).distinct().join(found, id_col, "left").select(
         id_col,
-        F.col("b.label").alias("business_context_label"),
-        F.col("b.score").alias("semantic_relevance_score"),
+        F.coalesce("b.label", F.lit("")).alias("business_context_label"),
+        F.coalesce("b.score", F.lit(0.0)).alias("semantic_relevance_score"),
     )
 
 

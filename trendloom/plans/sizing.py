@@ -11,9 +11,11 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Copies of the other side when the join must shuffle: a key that holds a third
 # of all rows is spread over this many tasks.
 SALTS = 32
-# A key is hot when it holds more than this share of the rows, so there are at
-# most 1 / HOT_SHARE hot keys.
-HOT_SHARE = 1 / 500
+# A key is hot when it has more rows than one task should take, whatever the
+# table's size. At most MAX_HOT of them, the most frequent, are handled apart; they
+# leave every other key with less than 1 / MAX_HOT of the rows.
+HOT_ROWS = 1_000_000
+MAX_HOT = 10_000
 
 
 def measured_size(df: DataFrame) -> tuple[int, int]:
@@ -93,10 +95,8 @@ def hot_split_join(
     ``also`` names further columns that must be equal (``key`` may be a hash).
     """
     on = [key, *(also or [])]
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    bound = max(int(total * HOT_SHARE), 10_000)
-    hot = [r[0] for r in counts.filter(F.col("_n") > bound).select(key).collect()]
+    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    hot = [r[0] for r in counts.orderBy(F.desc("_n"), key).limit(MAX_HOT).select(key).collect()]
     if not hot:
         return facts.join(lookup, on, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))

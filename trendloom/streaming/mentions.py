@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
+from ..functions.timefns import event_time as parsed_time
 from ..operators.clean import dedup_mentions
 from ..operators.ingest import ingest_new
 from ..schema import MENTIONS
@@ -46,11 +47,13 @@ def stream_mentions(
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # read three times: measured, joined with the store, written
         if exists(spark, store):
             fresh = ingest_new(batch, spark.read.schema(MENTIONS).parquet(store), order)
         else:
             fresh = dedup_mentions(batch, order)
         append_mentions(fresh, store)
+        batch.unpersist()
 
     return source.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
 
@@ -62,10 +65,15 @@ def stream_weekly(
 
     Epoch day 0 is a Thursday, so weeks that start on Monday are seven-day
     windows offset by four days. State is one row per open week and category.
+    Dates may be timestamps or the texts that records hold; rows without a known
+    date belong to no week. In append mode a week comes out once, when the
+    watermark has passed its end; in update mode with every change.
     """
     week = F.window(F.col(event_time), "7 days", startTime="4 days")
     return (
         source.filter(F.col("category").isNotNull())
+        .withColumn(event_time, parsed_time(source, event_time))
+        .filter(F.col(event_time).isNotNull())
         .withWatermark(event_time, late_by)
         .groupBy(week.alias("w"), "category")
         .agg(F.count("mention_id").alias("mentions"))
