@@ -5,7 +5,8 @@ values, cut into 36 bands of 6, and folded into a 512-bit odd sketch: the parity
 of how often each bit is hit. The population count of two sketches' XOR estimates
 how many MinHash values differ, precisely at high similarities, so that nearly all
 candidates of the bands that are not similar fall without looking at their texts.
-What remains is confirmed on full shingle sets.
+What remains is confirmed on full shingle sets. Members of buckets that stay open get
+a finer sketch (2,048 values, 8,192 bits), for texts that share long passages.
 
 A bucket of a band is never expanded into all its pairs. Its members are first
 compared with one of them, a different one in each band; what that connects is
@@ -40,15 +41,25 @@ LANES = BITS // 64
 # Sketches of texts with an estimated similarity below this one are no candidates:
 # four standard deviations below 0.8.
 SKETCH_LEAST = 0.65
+# Sketches that tell apart what shares long passages: made only for members of open
+# buckets; 0.745 is more than four standard deviations below 0.8.
+FINE_HASHES, FINE_BITS, FINE_LEAST = 2048, 8192, 0.745
 MEMBERS = 256  # members of a star that one part of its comparison holds on average
 CACHE = 300_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_random = np.random.Generator(np.random.PCG64(20240607))
-_MULTIPLY = (_random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
-_ADD = _random.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
-_PLACES = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+def _family(hashes: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Multipliers and offsets of MinHash functions, and multipliers that deal their values to bits."""
+    draw = np.random.Generator(np.random.PCG64(seed))
+    multiply = draw.integers(0, 1 << 31, hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    add = draw.integers(0, 1 << 32, hashes, dtype=np.uint32)
+    places = draw.integers(1, 1 << 63, hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return multiply[:, None], add[:, None], places
+
+
+COARSE, FINE = _family(HASHES, 20240607), _family(FINE_HASHES, 20240608)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -83,12 +94,13 @@ def shingles(text: bytes, width: int, hashes: dict) -> np.ndarray:
     return np.unique(out)
 
 
-def min_hashes(items: np.ndarray) -> np.ndarray:
-    """216 minima of a set of hashes, in blocks, so that long texts need no more memory."""
+def min_hashes(items: np.ndarray, family=COARSE) -> np.ndarray:
+    """The minima of a set of hashes, in blocks, so that long texts need no more memory."""
     small = (items >> np.uint64(32)).astype(np.uint32)
-    out = np.full(HASHES, np.uint32(0xFFFFFFFF))
-    for i in range(0, len(small), 1024):
-        np.minimum(out, (small[None, i : i + 1024] * _MULTIPLY + _ADD).min(axis=1), out=out)
+    multiply, add, _ = family
+    out = np.full(len(multiply), np.uint32(0xFFFFFFFF))
+    for i in range(0, len(small), 512):
+        np.minimum(out, (small[None, i : i + 512] * multiply + add).min(axis=1), out=out)
     return out
 
 
@@ -101,16 +113,16 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def odd_sketch(values: np.ndarray) -> np.ndarray:
-    """Parity of the hits of (place, value) on 512 bits, as eight 64-bit lanes."""
-    bits = _mix(values.astype(np.uint64) + _PLACES) >> np.uint64(64 - 9)
-    odd = (np.bincount(bits.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
+def odd_sketch(values: np.ndarray, family=COARSE, size: int = BITS) -> np.ndarray:
+    """Parity of the hits of (place, value) on ``size`` bits, a power of two, as 64-bit lanes."""
+    bits = _mix(values.astype(np.uint64) + family[2]) % np.uint64(size)
+    odd = (np.bincount(bits.astype(np.int64), minlength=size) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
-def most_differing(least: float = SKETCH_LEAST) -> int:
+def most_differing(least: float = SKETCH_LEAST, hashes: int = HASHES, size: int = BITS) -> int:
     """XOR bits that two sets of similarity ``least`` are expected to show."""
-    return int(BITS / 2 * (1 - (1 - 2 / BITS) ** (2 * HASHES * (1 - least))))
+    return int(size / 2 * (1 - (1 - 2 / size) ** (2 * hashes * (1 - least))))
 
 
 def _signatures(width: int):
@@ -182,6 +194,23 @@ def _keyed_texts(width: int):
     return keyed
 
 
+def _fine_sketches(width: int):
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                fine = [
+                    odd_sketch(min_hashes(shingles(x.as_py(), width, hashes), FINE), FINE, FINE_BITS)
+                    for x in batch.column(1).cast(pa.large_binary())
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(fine, type=pa.list_(pa.int64()))], names=["cls", "fine"]
+                )
+
+    return sketched
+
+
 class _Job:
     """The steps of one run, on the classes of equal sets."""
 
@@ -201,12 +230,12 @@ class _Job:
         self.classes = self.stage.write(grouped.withColumn("cls", F.monotonically_increasing_id()))
 
     def buckets(self) -> DataFrame:
-        """(bucket, cls, centre) of the buckets with several classes; the centre is drawn anew in each band."""
+        """(bucket, band, cls, centre) of the buckets with several classes; the centre is drawn anew in each band."""
         rows = self.classes.select("cls", F.posexplode("bands").alias("band", "bucket"))
         drawn = F.min(F.struct(F.xxhash64("cls", "band").alias("h"), "cls"))
         several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), drawn.alias("c")).filter("members > 1")
         joined = rows.join(several.select("bucket", F.col("c.cls").alias("centre")), "bucket")
-        return self.stage.write(joined.select("bucket", "cls", "centre"))
+        return self.stage.write(joined.select("bucket", "band", "cls", "centre"))
 
     def sketched(self, pairs: DataFrame) -> DataFrame:
         """The distinct pairs (a, b) whose sizes allow the similarity and whose sketches are near enough."""
@@ -279,21 +308,29 @@ def near_duplicates(
 
     # What is open now: members outside the largest component of their bucket, with all they aren't connected to.
     # Sizes and sketches are compared in the join itself, so that only near pairs come out of it.
-    placed = stage.write(_rooted(buckets.select("bucket", "cls"), roots))
+    placed = stage.write(_rooted(buckets.select("bucket", "band", "cls"), roots))
     sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("bucket").agg(
         F.max(F.struct("m", "root")).alias("top"), F.count(F.lit(1)).alias("groups")
     ).filter("groups > 1").select("bucket", F.col("top.root").alias("top"))
-    sketches = job.classes.select("cls", "n", *(f"s{i}" for i in range(LANES)))
-    mixed = stage.write(placed.join(largest, "bucket").join(sketches, "cls"))
+    open_buckets = stage.write(placed.join(largest, "bucket"))
+    open_texts = job.texts_of(open_buckets.select("cls"))
+    fine = stage.write(open_texts.mapInArrow(_fine_sketches(width), "cls long, fine array<long>"))
+    sketches = job.classes.select("cls", "n", "bands", *(f"s{i}" for i in range(LANES))).join(fine, "cls")
+    mixed = open_buckets.join(sketches, "cls")
     minor = mixed.filter("root <> top").select(*[F.col(c).alias(f"a_{c}") for c in mixed.columns])
     other = mixed.select(*[F.col(c).alias(f"b_{c}") for c in mixed.columns])
     open_ = F.expr("a_bucket = b_bucket and a_root <> b_root and (b_root = b_top or a_cls < b_cls)")
-    pairs = minor.join(other, open_ & job.near("a_", "b_")).select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b"))
+    differing = F.aggregate(
+        F.zip_with("a_fine", "b_fine", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
+    )
+    # A pair that shares several buckets comes out of the first of them only.
+    first = F.expr("array_position(zip_with(a_bands, b_bands, (x, y) -> x = y), true) = a_band + 1")
+    near_enough = job.near("a_", "b_") & first & (differing <= most_differing(FINE_LEAST, FINE_HASHES, FINE_BITS))
+    pairs = minor.join(other, open_ & near_enough).select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b"))
     tested = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = stage.write(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-    needed = rest.select(F.col("a").alias("cls")).unionByName(rest.select(F.col("b").alias("cls")))
-    more = job.confirmed(rest, job.texts_of(needed))
+    rest = stage.write(pairs.join(tested, ["a", "b"], "left_anti"))
+    more = job.confirmed(rest, open_texts)
     # Links between components connect their roots.
     upper = stage.write(components(stage, _rooted(more.select(F.col("a").alias("cls"), "b"), roots).select(
         F.col("root").alias("a"), F.col("b").alias("cls")
