@@ -52,12 +52,20 @@ class Stage:
         return out
 
     def drop(self, df: DataFrame) -> None:
-        for file in df.inputFiles()[:1]:
-            self._delete(file.rsplit("/", 1)[0])
+        """Delete a table of this run."""
+        self._delete(df, self.root)
 
-    def _delete(self, path: str) -> None:
-        if self.root.split("://")[-1].lstrip("/").split("file:")[-1] not in path:
-            raise ValueError(f"{path} is not a table of this run")
+    def discard(self, df: DataFrame) -> None:
+        """Delete a table that another run has left below the shared folder."""
+        self._delete(df, shared_folder(self.spark))
+
+    def _delete(self, df: DataFrame, below: str) -> None:
+        files = df.inputFiles()
+        if not files:
+            return
+        path = files[0].rsplit("/", 1)[0]
+        if below.split(":")[-1].strip("/") not in path:
+            raise ValueError(f"{path} does not lie below {below}")
         jvm = self.spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,6 +8,8 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+from .plans.staging import Stage
+
 # Settings the operators rely on; all of them can be changed on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -64,23 +66,14 @@ def ship_package(spark: SparkSession) -> None:
     sc._trendloom_shipped = True
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; make one only in local mode."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="trendloom-checkpoint-")
-    sc.setCheckpointDir(folder)
-
-
 def staged(df):
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+    """Compute ``df`` once, as Parquet in the shared folder, and cut its lineage.
 
     Meant for small, expensive results that feed several outputs.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return Stage(df.sparkSession, "staged").write(df)
+
+
+def unstage(df) -> None:
+    """Delete a table that ``staged`` wrote and nothing reads any more."""
+    Stage(df.sparkSession, "staged").discard(df)
