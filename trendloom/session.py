@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -62,7 +64,8 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(where, name)
                     z.write(path, os.path.relpath(path, os.path.dirname(here)))
-    sc.addPyFile(archive)  # copied by Spark, so the local file may go
+    sc.addPyFile(archive)  # served to the executors from here, so it stays until the driver ends
+    atexit.register(shutil.rmtree, folder, True)
     sc._trendloom_shipped = True
 
 
