@@ -45,7 +45,7 @@ SKETCH_LEAST = 0.65
 # buckets; 0.745 is more than four standard deviations below 0.8.
 FINE_HASHES, FINE_BITS, FINE_LEAST = 2048, 8192, 0.745
 MEMBERS = 256  # members of a star that one part of its comparison holds on average
-CACHE = 300_000
+CACHE = 100_000  # words whose hash a task remembers
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)

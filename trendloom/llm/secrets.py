@@ -33,7 +33,7 @@ SAMPLE_ROWS = 100_000  # documents read for fitting, at most; the choice goes by
 WINDOWS = 3_000  # windows with and without a match fitted on, at most of each
 REACH = 12  # tokens on either side of a match in its window
 DIMENSIONS = 1 << 14
-CACHE = 200_000
+CACHE = 60_000  # tokens whose row a task remembers
 OFFSETS = (-2, -1, 0, 1, 2)
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 
@@ -243,7 +243,7 @@ def _windows(sample: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [[], [], [], [], []]
-            for text, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, at in zip(map(pa.Scalar.as_py, batch.column(0)), batch.column(1).to_pylist()):
                 spans = base_spans(text)
                 if not spans and at % 16:
                     continue
@@ -395,8 +395,8 @@ def redacted(model: Crf, text: Column, mark: str = "[secret]") -> Column:
     return F.when(text.isNotNull(), cleaned(text_of(text)))
 
 
-def _portions(batch: pa.Array, chars: int = 2_000_000) -> Iterator[list[str]]:
-    """The batch's texts in order, about two million characters at a time."""
+def _portions(batch: pa.Array, chars: int = 1_000_000) -> Iterator[list[str]]:
+    """The batch's texts in order, about a million characters at a time."""
     part, held = [], 0
     for x in batch:
         x = x.as_py()
