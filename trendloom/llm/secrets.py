@@ -243,7 +243,7 @@ def _windows(sample: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [[], [], [], [], []]
-            for text, at in zip(map(pa.Scalar.as_py, batch.column(0)), batch.column(1).to_pylist()):
+            for text, at in zip((x.as_py() for x in batch.column(0)), batch.column(1).to_pylist()):
                 spans = base_spans(text)
                 if not spans and at % 16:
                     continue
