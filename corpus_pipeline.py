@@ -33,6 +33,11 @@ def _fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
+def _numbered(spark: SparkSession, docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` with row numbers, stored: numbers made anew for each plan follow its file splits, which may change."""
+    return Stage(spark, "numbered").write(docs.withColumn(row, F.monotonically_increasing_id()))
+
+
 def _by_row(docs: DataFrame, row: str, other: DataFrame, how: str) -> DataFrame:
     """Join by row number; the other table is broadcast where it was measured to be small."""
     return docs.join(F.broadcast(other) if fits_broadcast(other) else other, row, how)
@@ -49,7 +54,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The first document of each group that links at 0.8 connect; texts without words are no duplicates."""
     ship_package(spark)
     row = _fresh(docs, "_row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = _numbered(spark, docs, row)
     found = minhash.near_duplicates(numbered.select(row, "text"), row)
     gone = Stage(spark, "duplicates").write(found.filter(~F.col("kept")).select(row))
     return _by_row(numbered, row, gone, "left_anti").select(*docs.columns)
@@ -76,8 +81,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, stored in the order of their slots; weights are the square roots of the sources' characters."""
     ship_package(spark)
     row, at = _fresh(docs, "_row"), _fresh(docs, "_at")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    weights = mixing.root_weights(docs, "source")
+    numbered = _numbered(spark, docs, row)
+    weights = mixing.root_weights(numbered, "source")
     slots = mixing.mix(numbered, [row], "source", weights, [F.col(row)])
     order = (F.col("slot") * mixing.BLOCK + F.col("place")).alias(at)
     placed = Stage(spark, "slots").write(slots.select(row, order))

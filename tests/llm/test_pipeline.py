@@ -73,6 +73,30 @@ def test_stages_on_nothing_and_on_clashing_columns(spark, folder):
         assert out.columns == clash.columns and out.count() == clash.count()
 
 
+def test_row_numbers_outlive_other_file_splits(spark, folder, monkeypatch):
+    """As when an executor comes or goes: the join packs the files otherwise than what found the rows."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    join = P._by_row
+
+    def repacked(*given):
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        return join(*given)
+
+    monkeypatch.setattr(P, "_by_row", repacked)
+    kept = {}
+    for stage in (P.drop_near_duplicates, P.mix_sources):
+        try:
+            kept[stage] = Counter(map(str, stage(spark, docs, folder).collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert kept[P.mix_sources] == Counter(map(str, docs.collect()))
+    left = Counter(r.split("doc_id=")[1].split(",")[0] for r in kept[P.drop_near_duplicates].elements())
+    assert left["1"] + left["500"] + left["501"] == 1 and left["2"] + left["None"] == 1 and left["505"] == 1
+    assert all(left[str(i)] == 1 for i in (0, 3, 502, 503, 504)) and sum(left.values()) == docs.count() - 4
+
+
 def test_run(spark, folder):
     out = P.run(spark, folder)
     assert out.columns == ["doc_id", "n_tokens", "bucket", "padded_length", "batch", "slot"]
