@@ -1,6 +1,7 @@
 """Near duplicates of texts and vectors and exact top-k, against comparing everything."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -140,6 +141,26 @@ def test_graph_recall_and_no_false_link(spark):
     assert sum(out[i].component_id != roots[i] for i in out) <= 0.01 * len(x)
 
 
+def test_large_group_of_near_copies_is_gathered_in_chunks():
+    """All vectors alike but none equal: 256 x 4,000 pairs, which took 64 doubles each, twice."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=64) + 0.1 * rng.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = hnsw.Graph(x)
+    state = {"cls": np.arange(4000), "times": np.ones(4000, dtype=np.int64), "whole": x, "norms": np.ones(4000), "width": 32}
+    asked = np.arange(0, 4000, 16)
+    tracemalloc.start()
+    out = hnsw._linked(graph, state, asked, x[asked], 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6, peak
+    counts = {a: n for a, b, n in zip(*(c.to_pylist() for c in out.columns)) if b < 0}
+    due = (x[asked] @ x.T >= 0.9).sum(axis=1) - 1
+    assert due.min() > 3000 and [counts[a] for a in asked.tolist()] == due.tolist()
+    pairs = [(a, b) for a, b in zip(*(c.to_pylist() for c in out.columns[:2])) if b >= 0]
+    assert len(pairs) == 3999 and len(set(roots_of(range(4000), pairs).values())) == 1
+
+
 def test_impact_index_is_exact(spark):
     x = np.round(clustered(700, 5, 6), 2)
     x[50:80] = x[40]  # ties

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ BUILD_BEAM = 40
 BATCH = 256
 EXPAND = 4  # nodes of a beam that one step opens
 AUDITS = 256
+PAIRS = 65_536  # pairs of a query and a node that are compared at once beyond the beams, about
 RECALL = 0.97
 
 
@@ -218,10 +220,13 @@ class Graph:
         one = self._seen[row, node] == stamp  # of a pair that came twice, the last
         return row[one], node[one]
 
-    def within(self, q: np.ndarray, least: float, width: int, own: np.ndarray | None = None):
+    def within(
+        self, q: np.ndarray, least: float, width: int, own: np.ndarray | None = None, most: int = PAIRS
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(query, node) pairs whose similarity is about ``least`` or more, found with beams of ``width``.
 
-        ``own`` gives the node that a query is itself, -1 where it is none.
+        They come in chunks of at most about ``most`` pairs, each pair once. ``own`` gives the node that a query is
+        itself, -1 where it is none.
         """
         q = np.ascontiguousarray(q, dtype=np.float32)
         entries = np.full((len(q), 1), self.entry, dtype=np.int32)
@@ -231,26 +236,30 @@ class Graph:
             entries = np.concatenate([entries, own[:, None].astype(np.int32)], axis=1)
         ids, sims = self._beam(0, q, entries, max(width, entries.shape[1]))
         row, column = np.nonzero(sims >= least - 1e-5)
-        node = ids[row, column]
-        rows, nodes = [row], [node]
         # Beyond the beam: what links lead to from a find, as long as it lies above the threshold itself. Nodes that
-        # the beam has let go are looked at again.
+        # the beam has let go are looked at again. Finds wait in chunks so small that their links are at most ``most``.
         self._forget()
-        row, node = self._fresh(row, node)
-        while len(row):
+        step = max(1, most // self.layers[0].shape[1])
+        row, node = self._fresh(row.astype(np.int32), ids[row, column])
+        open_ = [(row[i : i + step], node[i : i + step]) for i in range(0, len(row), step)]
+        while open_:
+            row, node = open_.pop()
+            while open_ and len(row) + len(open_[-1][0]) <= step:
+                more = open_.pop()
+                row, node = np.concatenate([row, more[0]]), np.concatenate([node, more[1]])
+            yield row, node
             near = self.layers[0][node]
             i, k = np.nonzero(near >= 0)
             row, node = self._fresh(row[i], near[i, k])
             near_enough = np.einsum("ij,ij->i", self.x[node], q[row]) >= least - 1e-5
             row, node = row[near_enough], node[near_enough]
-            rows.append(row)
-            nodes.append(node)
-        return np.concatenate(rows), np.concatenate(nodes)
+            open_ += [(row[i : i + step], node[i : i + step]) for i in range(0, len(row), step)]
 
     def audited_width(self, least: float, recall: float = RECALL, audits: int = AUDITS) -> int:
-        """The first of the widths BEAM, 2 BEAM, ... that finds ``recall`` of what lies within reach of audit vectors.
+        """The first of the widths BEAM, 2 BEAM, ... that finds ``recall`` of what lies within reach of an audit vector.
 
-        An audit vector lies at the threshold from a stored vector, in a random
+        That is the mean over the vectors that reach something, so that a large group counts no more than a
+        small one. An audit vector lies at the threshold from a stored vector, in a random
         direction; what is within reach comes from comparing with all vectors.
         """
         n, width = len(self.x), BEAM
@@ -263,14 +272,14 @@ class Graph:
         other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-12)
         near = least + 0.001
         probes = near * stored + math.sqrt(1 - near * near) * other
-        due = np.argwhere(probes @ self.x.T >= least)
-        due = set(map(tuple, due.tolist()))
-        while width < n:
-            got = set()
+        due = probes @ self.x.T >= least
+        reach = due.sum(axis=1)
+        while width < n and reach.any():
+            got = np.zeros(audits, dtype=np.int64)
             for i in range(0, audits, BATCH):
-                row, node = self.within(probes[i : i + BATCH], least, width)
-                got |= set(zip((row + i).tolist(), node.tolist()))
-            if len(got & due) >= recall * len(due):
+                for row, node in self.within(probes[i : i + BATCH], least, width):
+                    got += np.bincount(row[due[row + i, node]] + i, minlength=audits)
+            if (got[reach > 0] / reach[reach > 0]).mean() >= recall:
                 break
             width *= 2
         return min(width, n)
@@ -444,14 +453,26 @@ def _linked(graph: Graph, state: dict, q_cls: np.ndarray, q: np.ndarray, least:
     q_norm = np.sqrt((q**2).sum(axis=1))
     at = np.minimum(np.searchsorted(cls, q_cls), len(cls) - 1)
     itself = np.where(cls[at] == q_cls, at, -1)
-    row, node = graph.within(q / q_norm[:, None], least, state["width"], itself)
-    other = node != itself[row]
-    row, node = row[other], node[other]
-    cosine = np.einsum("ij,ij->i", q[row], whole[node]) / (q_norm[row] * norms[node])
-    row, node = row[cosine >= least], node[cosine >= least]
-    linked = np.bincount(row, weights=times[node], minlength=len(q)).astype(np.int64)
+    linked = np.zeros(len(q), dtype=np.int64)
+    first = np.full(len(cls), -1, dtype=np.int32)  # the query that linked with a node first stands for the node
+    links, same = [], set()
+    for row, node in graph.within(q / q_norm[:, None], least, state["width"], itself):
+        other = node != itself[row]
+        row, node = row[other], node[other]
+        cosine = np.einsum("ij,ij->i", q[row], whole[node]) / (q_norm[row] * norms[node])
+        row, node = row[cosine >= least], node[cosine >= least]
+        np.add.at(linked, row, times[node])
+        new = first[node] < 0
+        first[node[new]] = row[new]
+        chosen = first[node] == row
+        links.append((row[chosen & new], node[chosen & new]))
+        shared = np.unique(first[node].astype(np.int64) * len(q) + row)
+        same.update(shared[shared // len(q) != shared % len(q)].tolist())
+    row, node = (np.concatenate([x[k] for x in links]) for k in (0, 1))
     some = np.flatnonzero(linked)
-    forest = _forest(zip(q_cls[row].tolist(), cls[node].tolist()))
+    known = q_cls.tolist()
+    joined = ((known[x // len(q)], known[x % len(q)]) for x in same)
+    forest = _forest(chain(zip(q_cls[row].tolist(), cls[node].tolist()), joined))
     return pa.RecordBatch.from_arrays(
         [
             pa.array([*q_cls[some].tolist(), *(p[0] for p in forest)], type=pa.int64()),
