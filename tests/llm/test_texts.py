@@ -176,6 +176,19 @@ def test_lattice_against_all_segmentations():
     assert np.isfinite(model.expected(words, counts)).all()
 
 
+def test_probabilities_of_strange_characters_add_up(spark):
+    """A corpus of a rare script: most mass goes to bytes, and still all words of one character share at most 1."""
+    model = lattice.read_vocabulary(lattice.VOCABULARY)
+    words = spark.createDataFrame([("ԱԲ", 40_000), ("ꙮ", 20_000)], "word string, c long")
+    for m in (model, lattice.fit(words, model, 1)):
+        p = np.exp(m.logp)
+        assert abs(p[:-2].sum() + 256 * p[-2] + p[-1] - 1) < 1e-9
+        alone = [chr(c) for c in range(0xFFFF) if not 0xD800 <= c < 0xE000]
+        assert np.exp(m.log_marginals(alone)).sum() <= 1
+    a, b = model.log_marginals(["\0the", "the"])
+    assert a < b - 5  # a zero character is no mark
+
+
 def test_scores_of_texts(spark, awkward, monkeypatch):
     monkeypatch.setattr(lattice, "HOT_WORDS", 2)  # most words take the joined way
     out = lattice.score_texts(awkward).collect()

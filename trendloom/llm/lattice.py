@@ -36,6 +36,8 @@ ITERATIONS = 3
 COUNTED = 300_000  # distinct words that a task holds before it hands their counts on
 MARK = "▁"
 _STRANGE = 0x10FFFF + 1  # code of a mark that stands in a text
+_NUL = 0x10FFFF + 2  # code of a zero character, as 0 is the mark before a word
+BYTES = 256  # values of a byte, equally likely
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 18
 _MULTIPLIERS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
@@ -46,7 +48,8 @@ class Lattice:
     """Pieces in hashed tables (whole pieces and their prefixes) with log probabilities.
 
     The last entry of ``logp`` is the end mark's, the one before it that of one
-    UTF-8 byte of a character without a piece.
+    value of a UTF-8 byte of a character without a piece: together the bytes have
+    ``BYTES`` times its probability.
     """
 
     pieces: list[str]
@@ -105,7 +108,7 @@ class Lattice:
             if size == 1:
                 alone = ~whole
                 c = flat[at[alone]]
-                width = np.where(c < 0x80, 1, np.where(c < 0x800, 2, np.where((c < 0x10000) | (c == _STRANGE), 3, 4)))
+                width = np.where((c < 0x80) | (c == _NUL), 1, np.where(c < 0x800, 2, np.where((c < 0x10000) | (c == _STRANGE), 3, 4)))
                 out.append((1, at[alone], -width, width * self.logp[-2]))
             alive = found > -2
             at, hashes = at[alive], hashes[alive]
@@ -146,6 +149,7 @@ class Lattice:
                     chars = np.array([words[k] for k in part.tolist()], dtype=f"<U{size}").view(np.uint32)
                     chars = chars.reshape(len(part), size).T.astype(np.int64)
                     chars[chars == ord(MARK)] = _STRANGE
+                    chars[chars == 0] = _NUL
                     codes[1:] = chars
                 yield part, codes
 
@@ -177,8 +181,15 @@ class Lattice:
         return out
 
 
+def _log_shares(weight: np.ndarray) -> np.ndarray:
+    """Log probabilities of weights of pieces, of all strange characters' bytes together, and of the end mark."""
+    logp = np.log(weight / weight.sum())
+    logp[-2] -= math.log(BYTES)
+    return logp
+
+
 def read_vocabulary(path: str) -> Lattice:
-    """The file's ordinary pieces, weighted by 1 / (10 + rank); a byte without a piece and the end mark like the last rank."""
+    """The file's ordinary pieces, weighted by 1 / (10 + rank); all bytes together and the end mark like the last rank."""
     from sentencepiece import SentencePieceProcessor
 
     sp = SentencePieceProcessor(model_file=path)
@@ -190,7 +201,7 @@ def read_vocabulary(path: str) -> Lattice:
             ranks.append(-sp.get_score(i))
     weight = 1.0 / (10.0 + np.asarray(ranks) - min(ranks))
     weight = np.concatenate([weight, [weight.min(), weight.min()]])
-    return Lattice(pieces, np.log(weight / weight.sum()))
+    return Lattice(pieces, _log_shares(weight))
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -251,7 +262,7 @@ def fit(words: DataFrame, lattice: Lattice, ends: int, iterations: int = ITERATI
         for r in got:
             weight[r[0]] += r[1]
         weight[-1] += ends
-        lattice = Lattice(model.pieces, np.log(weight / weight.sum()))
+        lattice = Lattice(model.pieces, _log_shares(weight))
     return lattice
 
 
