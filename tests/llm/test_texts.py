@@ -90,6 +90,22 @@ def test_toxicity_on_held_out_rows(spark):
     assert model.score("you g r o m p h and v3xl1ng") > 0.5 > model.score("river stone")
 
 
+def test_disguises_beyond_the_plain_ones():
+    bad = ["idiot", "loser", "stupid", "moron", "scum"]
+    counts = Counter()
+    for w in bad + ["the", "street", "later", "total", "letter", "well", "known", "stone"]:
+        padded = "^^" + w + "^"
+        counts.update(padded[i : i + 3] for i in range(len(padded) - 2))
+    model = toxicity.Model(dict.fromkeys(bad, 6.0), toxicity.CharModel(dict(counts)), np.array([-3.0, 1.0, 0, 0, 0]))
+    shown = [
+        "stuupid", "morron", "st.upid", "id-iot", "!diot", "|diot", "(!diot)", '"1diot,"', "$cum", "i d i o t.", "s c u m.",
+        "l o s e r,", "s. c. u. m.", '"l o s e r!"',
+    ]
+    assert [s for s in shown if model.score(f"the street {s} later") < 0.5] == []
+    for s in ("letter", "well-known", "total!", "the stone.", "1. 2. 3.", "1984", "(later)", "a b c."):
+        assert model.score(f"the street {s} later") < 0.5, s
+
+
 def test_toxicity_awkward_rows(spark, awkward):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(awkward, none)
