@@ -55,6 +55,36 @@ def test_pseudonyms_keep_their_format_and_come_back(spark):
     assert [r.text for r in back.orderBy("doc_id").collect()] == texts
 
 
+def test_cards_beside_other_digits_and_dates_with_times(spark):
+    def card(body):
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
+    alone = "4111 1111 1111 1111"
+    texts = [
+        alone, f"1 {alone}", f"{alone} 123", f"12 34 {alone}", f"{alone} 2024-01-05", f"{alone} 05.01.2024", f"{alone} {alone}",
+        "4111111111111111", "4111111111111111 123", "7-4111111111111111", "3782 822463 10005 99", "2024-01-05T10:00:00Z",
+    ]
+    whole = []  # 19 digits whose first 16 are no card
+    for i in range(40):
+        d = card(f"{622200000000000000 + 7919 * i}")
+        if not luhn(d[:16]):
+            whole.append(" ".join((d[:4], d[4:8], d[8:12], d[12:16], d[16:])))
+    given = spark.createDataFrame(list(enumerate(texts + whole)), "doc_id long, text string")
+    out = pseudonymise_rows(given)
+    new = out[0]["text"]
+    assert new != alone
+    got = [r["text"] for r in out]
+    assert got[1:4] == [f"1 {new}", f"{new} 123", f"12 34 {new}"] and got[6] == f"{new} {new}"
+    assert all(g.startswith(new + " ") and r["n_date"] == r["n_card"] == 1 for g, r in zip(got[4:6], out[4:6]))
+    assert got[7] == new.replace(" ", "") and got[8] == got[7] + " 123" and got[9] == "7-" + got[7]
+    assert out[10]["n_card"] == 1 and got[10].endswith(" 99")
+    assert out[11]["n_date"] == 1 and got[11][:10] != "2024-01-05" and got[11][10:] == "T10:00:00Z"
+    assert len(whole) > 20 and all(r["n_card"] == 1 and r["text"] != t for r, t in zip(out[12:], whole))
+    hidden = pseudonyms.pseudonymise(given, "text", "k", counts=False)
+    back = pseudonyms.pseudonymise(hidden, "text", "k", inverse=True, counts=False)
+    assert [r.text for r in back.orderBy("doc_id").collect()] == texts + whole
+
+
 def pseudonymise_rows(given):
     return [r.asDict() for r in pseudonyms.pseudonymise(given, "text", "k").orderBy("doc_id").collect()]
 

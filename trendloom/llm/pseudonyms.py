@@ -8,7 +8,8 @@ modulo the number of values that half can take, so that every domain is mapped
 onto itself exactly:
 
 * payment card, 13-19 digits with a valid check digit: all but the first digit
-  and the check digit, which is made anew;
+  and the check digit, which is made anew; digits that stand beside a card in a usual
+  writing (unbroken, 4-4-4-4, 4-6-4, 4-6-5) are not taken as part of it;
 * telephone number of the North American plan with +1: its ten digits;
 * IPv4 address: all 32 bits; social security number: within the assigned range;
 * date (yyyy-mm-dd, mm/dd/yyyy, dd.mm.yyyy) of a day in 1900-2099: within these;
@@ -32,10 +33,22 @@ PHONE = r"(?<![0-9A-Za-z+])\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?
 IPV4 = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z])(?!\.[0-9])"
 DATE = (
     r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
-    r"(?![0-9A-Za-z])"
+    r"(?:(?![0-9A-Za-z])|(?=[Tt][0-9]{2}:?[0-9]{2}))"
 )
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+# A card number as it is usually written, whatever digits stand beside it.
+USUAL = (
+    r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}"
+    r"|[0-9]{4} [0-9]{6} [0-9]{4,5}|[0-9]{4}-[0-9]{6}-[0-9]{4,5})(?![0-9A-Za-z])"
+)
+# Digits joined over spaces and hyphens, none of them a date's, an address's or a social security number's: to their
+# end, or else a usual writing, or what stands before one.
+_OTHER = f"(?!{DATE}|{SSN}|{IPV4})"
+CARD = (
+    rf"(?<![0-9A-Za-z])[0-9](?:(?:[ -]{_OTHER})?[0-9]){{12,18}}(?![0-9A-Za-z])(?![ -]{_OTHER}[0-9])"
+    rf"|{USUAL}|(?<![0-9A-Za-z])[0-9](?:(?:[ -]{_OTHER}(?!{USUAL}))?[0-9]){{12,18}}(?![0-9A-Za-z])"
+)
+WALK = 32  # steps at most; each one ends the walk in nine cases of ten
 ANY = "|".join((EMAIL, PHONE, IPV4, DATE, SSN, CARD))
 # Whole matches, told apart by their shape.
 SHAPES = {
@@ -132,6 +145,15 @@ def _valid_card(m: str) -> str:
     return f"({_is('card', m)} and {_check_digit(f'substr({d}, 1, length({d}) - 1)')} = substr({d}, -1))"
 
 
+def _usual(m: str) -> str:
+    return f"regexp_extract({m}, {_quoted(USUAL)}, 0)"
+
+
+def _card_of(m: str) -> str:
+    """What of a match to look at: a valid card in a usual writing within joined digits, or else all of it."""
+    return f"if({_is('card', m)} and {_valid_card(_usual(m))}, {_usual(m)}, {m})"
+
+
 def _valid_date(kind: str, m: str) -> str:
     day = f"try_to_date({m}, '{DATE_FORMATS[kind]}')"
     return f"({_is(kind, m)} and coalesce(year({day}) between 1900 and 2099, false))"
@@ -173,11 +195,15 @@ def _pseudonym_sql(v: str, cipher: _Cipher) -> str:
     half, other = (f"cast(pow(10, {h}) as bigint)" for h in (f"(length({d}) - 2) div 2", f"(length({d}) - 1) div 2"))
     middle = f"lpad(cast({cipher.number('card', f'cast({inner} as bigint)', half, other)} as string), length({d}) - 2, '0')"
     card = f"aggregate(array(concat(substr({d}, 1, 1), {middle})), '', (s, b) -> concat(b, {_check_digit('b')}))"
+    # Joined digits that count as a whole must do so afterwards: on, until no usual writing within them is valid.
+    inside = f"{_usual('w')} <> w and {_valid_card(_usual('w'))}"
+    step = _refilled("w", card.replace(m, "w"))
+    walked = f"aggregate(sequence(1, {WALK}), {m}, (w, t) -> if(t = 1 or ({inside}), {step}, w))"
     return (
         f"case {v}.k when 'email' then {cipher.email(m)} "
         f"when 'phone' then {_refilled(m, f'concat(substr({d}, 1, 1), {phone})')} "
         f"when 'ip' then {address} {dates} when 'ssn' then {number} "
-        f"when 'card' then {_refilled(m, card)} else {m} end"
+        f"when 'card' then if({_usual(m)} in ('', {m}), {_refilled(m, card)}, {walked}) else {m} end"
     )
 
 
@@ -199,9 +225,15 @@ def pseudonymise(
     parsed = docs.withColumn(
         internal,
         F.when(has, F.regexp_extract_all(value, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>")),
-    ).withColumn(internal, F.expr(f"transform(`{internal}`, m -> named_struct('m', m, 'k', {kind_sql('m')}))"))
+    ).withColumn(
+        internal,
+        F.expr(
+            f"transform(`{internal}`, o -> transform(array({_card_of('o')}), m -> named_struct('m', m, 'k', {kind_sql('m')}, "
+            "'a', substr(o, 1, instr(o, m) - 1), 'z', substr(o, instr(o, m) + length(m))))[0])"
+        ),
+    )
     gaps = f"split(cast(`{text}` as string), {_quoted(ANY)}, -1)"
-    new = f"transform(`{internal}`, v -> {_pseudonym_sql('v', _Cipher(key, inverse))})"
+    new = f"transform(`{internal}`, v -> concat(v.a, {_pseudonym_sql('v', _Cipher(key, inverse))}, v.z))"
     joined = f"array_join(zip_with({gaps}, {new}, (g, p) -> concat(g, coalesce(p, ''))), '')"
     result = parsed.withColumn(rewritten, F.expr(f"if(size(`{internal}`) > 0, {joined}, cast(`{text}` as string))"))
     tallies = {
