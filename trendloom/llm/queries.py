@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, hnsw, impact, lattice, minhash, mixing, packing, pseudonyms, secrets, toxicity
+from . import (
+    chat, collocations, hnsw, impact, lattice, minhash, mixing, packing, pseudonyms, secrets, substrings, toxicity,
+)
 from . import sql as S
 
 QUERIES = {
@@ -16,10 +18,14 @@ QUERIES = {
     "op8_impact_topk": impact.op8_impact_topk,
     "op9_feistel_pseudonyms": pseudonyms.op9_feistel_pseudonyms,
     "op10_subword_lattice": lattice.op10_subword_lattice,
+    "op11_fm_collocations": collocations.op11_fm_collocations,
+    "op13_substring_dedup": substrings.op13_substring_dedup,
 }
 ORACLES = {
     "op1_chat_format": S.OP1,
     "op3_pfair_mix": S.op3_sql(),
     "op5_length_buckets": S.op5_sql(),
     "op8_impact_topk": S.OP8,
+    "op11_fm_collocations": S.OP11,
+    "op13_substring_dedup": S.OP13,
 }

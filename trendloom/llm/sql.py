@@ -80,3 +80,42 @@ p AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x::DOUBLE[], v
 SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM p
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 20"""
+
+# Counts of every phrase of up to three words of a piece, cuts, the drop of what longer candidates cover.
+OP11 = r"""WITH p AS (SELECT row_number() OVER () AS row, lang, s FROM (SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS s FROM documents)),
+    w AS (SELECT row, lang, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i
+        FROM (SELECT row, lang, regexp_extract_all(s, '[^\x20\x09]+') AS ws FROM p)),
+    g AS (SELECT lang, x, x || ' ' || lead(x, 1) OVER o AS xy, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o AS xyz
+        FROM w WINDOW o AS (PARTITION BY row ORDER BY i)),
+    c AS MATERIALIZED (SELECT lang, 1 AS k, x AS phrase, count(*) AS f FROM g GROUP BY ALL
+        UNION ALL SELECT lang, 2, xy, count(*) FROM g WHERE xy IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT lang, 3, xyz, count(*) FROM g WHERE xyz IS NOT NULL GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+    o AS (SELECT *, string_split(phrase, ' ') AS ws FROM c WHERE k > 1 AND f >= 10),
+    cuts AS (SELECT lang, phrase, f AS a, k, ws, j, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j + 1:], ' ') AS y
+        FROM o, (VALUES (1), (2)) AS v(j) WHERE j < k),
+    s AS (SELECT u.lang, u.phrase, u.a, u.k, u.ws, u.j, x.f AS l, y.f AS r,
+        ((1000000::HUGEINT * u.a * u.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts u JOIN c x ON x.lang = u.lang AND x.phrase = u.x JOIN c y ON y.lang = u.lang AND y.phrase = u.y),
+    m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    inner3 AS (SELECT lang, part, max(f) AS longer FROM (SELECT lang, f, array_to_string(ws[1:2], ' ') AS part FROM o
+        WHERE k = 3 UNION ALL SELECT lang, f, array_to_string(ws[2:3], ' ') FROM o WHERE k = 3) GROUP BY lang, part)
+SELECT m.lang, row_number() OVER b AS rank, m.phrase, m.a, m.l, m.r, n.n, m.score
+FROM m JOIN n ON n.lang = m.lang LEFT JOIN inner3 i ON i.lang = m.lang AND i.part = m.phrase AND m.k = 2
+WHERE i.longer IS NULL OR 100 * i.longer < 50 * m.a
+WINDOW b AS (PARTITION BY m.lang ORDER BY m.score DESC, m.a DESC, m.phrase) QUALIFY row_number() OVER b <= 2000"""
+
+# Every window with the smallest document that has it; a word goes if one of the windows over it is older than its document.
+OP13 = r"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+        FROM documents),
+    w AS (SELECT row, doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM d),
+    v AS (SELECT row, doc_id, i, x, sha256(x || ' ' || """ + " || ' ' || ".join(f"lead(x, {k}) OVER o" for k in range(1, 13)) + r""") AS g
+        FROM w WINDOW o AS (PARTITION BY row ORDER BY i)),
+    l AS (SELECT g, min(doc_id) AS least FROM v WHERE g IS NOT NULL GROUP BY g),
+    m AS (SELECT v.row, i, x, max(CASE WHEN least < doc_id THEN i END) OVER (PARTITION BY v.row ORDER BY i) AS last
+        FROM v LEFT JOIN l ON l.g = v.g),
+    k AS (SELECT row, count(*) AS kept, string_agg(x, ' ' ORDER BY i) AS words FROM m WHERE last IS NULL OR last < i - 12 GROUP BY row)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(kept, 0))::BIGINT AS n_removed,
+    sha256(coalesce(words, '')) AS kept_sha256 FROM d LEFT JOIN k ON k.row = d.row"""
