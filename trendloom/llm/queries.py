@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from . import (
-    chat, collocations, hnsw, impact, lattice, minhash, mixing, packing, pseudonyms, secrets, substrings, toxicity,
+    chat, collocations, hnsw, impact, lattice, minhash, mixing, packing, pseudonyms, repair, secrets, substrings,
+    toxicity,
 )
 from . import sql as S
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op9_feistel_pseudonyms": pseudonyms.op9_feistel_pseudonyms,
     "op10_subword_lattice": lattice.op10_subword_lattice,
     "op11_fm_collocations": collocations.op11_fm_collocations,
+    "op12_conversation_repair": repair.op12_conversation_repair,
     "op13_substring_dedup": substrings.op13_substring_dedup,
 }
 ORACLES = {
@@ -27,5 +29,6 @@ ORACLES = {
     "op5_length_buckets": S.op5_sql(),
     "op8_impact_topk": S.OP8,
     "op11_fm_collocations": S.OP11,
+    "op12_conversation_repair": S.OP12,
     "op13_substring_dedup": S.OP13,
 }

@@ -119,3 +119,43 @@ OP13 = r"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract
     k AS (SELECT row, count(*) AS kept, string_agg(x, ' ' ORDER BY i) AS words FROM m WHERE last IS NULL OR last < i - 12 GROUP BY row)
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(kept, 0))::BIGINT AS n_removed,
     sha256(coalesce(words, '')) AS kept_sha256 FROM d LEFT JOIN k ON k.row = d.row"""
+
+# CRC-32 from its polynomial, damage, faults, then the cheapest edits turn by turn over four states (0 start, 1 s, 2 u, 3 a).
+OP12 = r"""WITH RECURSIVE tbl AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    k AS (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+    r AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce([4294967295]
+        || list_transform(range(1, length(key) + 1), lambda p: ascii(key[p])::BIGINT),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS kind FROM k, tbl),
+    d AS (SELECT conv_id AS conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM r WHERE kind <> 0),
+    o AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM d),
+    m AS (SELECT *, row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 AS again,
+        NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS late,
+        role[1] AS init FROM o),
+    p AS MATERIALIZED (SELECT conv, pos, turn, role, text, init, blank, NOT blank AND again AS dup, NOT blank AND NOT again AND late AS trunc,
+        lag(init) OVER (PARTITION BY conv ORDER BY pos) AS prev FROM m),
+    ins(s, t, n, rep) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 1, e'user:\n'), (1, 2, 1, e'user:\n'),
+        (3, 2, 1, e'user:\n'), (2, 3, 1, e'assistant:\n'), (0, 3, 2, e'user:\nassistant:\n'), (1, 3, 2, e'user:\nassistant:\n')),
+    opt(s, t, e, need, cost) AS (SELECT s::INTEGER, s::INTEGER, 'D', NULL::VARCHAR, 3 FROM range(4) v(s)
+        UNION ALL VALUES (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (3, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0),
+        (0, 2, 'R', NULL, 2), (1, 2, 'R', NULL, 2), (3, 2, 'R', NULL, 2), (2, 3, 'R', NULL, 2)),
+    f AS (SELECT conv, 0::BIGINT AS i, 0::BIGINT AS s, {'c': 0::BIGINT, 'audit': '', 'rep': ''} AS b FROM (SELECT DISTINCT conv FROM p)
+        UNION ALL
+        SELECT f.conv, f.i + 1, opt.t::BIGINT, min({'c': (f.b.c + 2 * ins.n + opt.cost + CASE WHEN trunc AND e <> 'D' THEN 1 ELSE 0 END)::BIGINT,
+            'audit': f.b.audit || repeat('I', ins.n) || e, 'rep': f.b.rep || ins.rep || CASE e WHEN 'D' THEN '' WHEN 'K' THEN role || ':' || text || chr(10)
+                ELSE CASE opt.t WHEN 2 THEN 'user:' ELSE 'assistant:' END || text || chr(10) END})
+        FROM f JOIN p ON p.conv IS NOT DISTINCT FROM f.conv AND p.pos = f.i + 1 JOIN ins ON ins.s = f.s JOIN opt ON opt.s = ins.t
+            AND (e <> 'K' OR need = init) AND (e = 'D' OR NOT (blank OR dup))
+        GROUP BY f.conv, f.i + 1, opt.t),
+    n AS (SELECT conv, max(pos) AS last, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (dup) AS duplicate, count(*) FILTER (trunc) AS truncated,
+        count(*) FILTER (pos > 1 AND prev || init NOT IN ('su', 'ua', 'au')) AS illegal FROM p GROUP BY conv),
+    z AS (SELECT f.conv, min({'c': b.c + 2 * ins.n, 'audit': b.audit || repeat('I', ins.n), 'rep': b.rep || ins.rep}) AS b
+        FROM f JOIN n ON n.conv IS NOT DISTINCT FROM f.conv AND f.i = n.last JOIN ins ON ins.s = f.s AND ins.t IN (0, 3) GROUP BY f.conv)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(n.blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.c, 0)::BIGINT AS cost,
+    coalesce(b.audit, '') AS audit, sha256(coalesce(b.rep[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN z ON z.conv IS NOT DISTINCT FROM c.conv_id"""
