@@ -91,18 +91,20 @@ def test_repeats_of_nothing(spark):
     assert substrings.remove_repeats(df).collect() == []
 
 
-def test_exchange_between_many_blocks(monkeypatch):
-    """Parts see hashes of several blocks, and answer each with its own."""
+def test_exchange_between_many_blocks():
+    """Parts see the places of several blocks' keys, and a block can tell its own in what comes back."""
     import pyarrow as pa
 
-    a, b = np.array([5, 1 << 40, 1 << 63], np.uint64), np.array([6, 1 << 63], np.uint64)
-    rows = [pa.Table.from_batches([_blocks.sent(k, 4, x)]) for k, x in ((1, a), (2, b))]
-    both = pa.concat_tables(rows)
-    assert sorted(zip(both.column("part").to_pylist(), both.column("block").to_pylist())) == [(0, 1), (0, 2), (1, 1), (1, 2)] or len(both) == 4
-    for part in set(both.column("part").to_pylist()):
-        mine = both.filter(pa.compute.equal(both.column("part"), part))
-        hashes, row = _blocks.unpacked(mine.column("a"), np.uint64)
-        assert len(hashes) == len(row) and list(_blocks.stretches(row))[0][0] == 0
+    random.seed(1)
+    for parts in (2, 4, 7, 211):
+        hashes = np.array(sorted(random.randrange(1 << 64) for _ in range(500)) + [(1 << 64) - 1], np.uint64)
+        keys = _blocks.keyed(hashes, parts)
+        assert (np.sort(keys) == keys).all() and int(keys[-1] >> np.uint64(32)) < parts and len(set(keys.tolist())) == 501
+        rows = pa.Table.from_batches([_blocks.sent(3, parts, keys, np.arange(501), base=9)])
+        assert (_blocks.answered(rows) == keys).all()
+        got, row = _blocks.unpacked(rows.column("b"), np.int64)
+        assert (got == np.arange(501)).all() and [k for k, _, _ in _blocks.stretches(row)] == list(range(rows.num_rows))
+    assert _blocks.sent(3, 4, np.zeros(0, np.uint64)) is None
 
 
 # Collocations
@@ -157,6 +159,18 @@ def test_collocations_like_a_plain_version(spark, max_words, top):
     assert collocations.collocations(df.limit(0)).collect() == []
 
 
+def test_words_that_share_a_hash(monkeypatch):
+    import pyarrow as pa
+
+    real = collocations.word_hashes
+    monkeypatch.setattr(
+        collocations, "word_hashes", lambda d, a, b, kind=0: real(d, a, b, 1) if kind else np.ones(len(a), np.uint64)
+    )
+    shard = collocations.Shard(pa.array(["a b a. c b a b"]), pa.array(["en"]), 2)
+    got = {shard.phrase(w, n): c for n, word, count, _ in shard.phrases() for w, c in zip(word.tolist(), count.tolist())}
+    assert got == {"a": 3, "b": 3, "c": 1, "a b": 2, "b a": 2, "c b": 1}
+
+
 def test_index_counts_phrases_of_any_depth():
     random.seed(1)
     pieces = [random.choices(range(1, 6), k=random.randint(0, 12)) for _ in range(60)]

@@ -8,7 +8,9 @@ per block, never once per row. Parts answer with one row per block.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from trendloom.plans.staging import Stage
 
 from ._common import shuffle_partitions
 
-BLOCK_BYTES = 8 << 20  # of text in a block; a longer text is a block of its own
+BLOCK_BYTES = 4 << 20  # of text in a block; a longer text is a block of its own
 BLOCK_ROWS = 16_384
 PART_HASHES = 1 << 20  # hashes that a part of the range receives, about
 _SLICE = 100_000  # words hashed at once
@@ -45,6 +47,33 @@ def byte_class(listed: bytes) -> np.ndarray:
     return table
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, which of them each value is, and how often each occurs."""
+    order = np.argsort(values, kind="stable")  # the default kind is slow where values repeat
+    ordered = values[order]
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(values), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return ordered[first], number, np.diff(np.append(first, len(values)))
+
+
+@cache
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+def release() -> None:
+    """Give memory that Python and Arrow hold on to back; workers are used again by other tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim() is not None:
+        _trim()(0)
+
+
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts of a column (null: empty), one behind the other, and where each starts and ends."""
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -136,54 +165,79 @@ def whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Ta
             if held and blocks[a] != current:
                 yield current, pa.Table.from_batches(held)
                 held = []
+                release()
             current = int(blocks[a])
             held.append(batch.slice(a, b - a))
     if held:
         yield current, pa.Table.from_batches(held)
+    held = []
+    release()
 
 
+# a: places of keys in their part, 32 bits each; b, c: what goes along; base: what c counts from.
 SENT = T.StructType(
     [T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType())]
     + [T.StructField(c, T.BinaryType()) for c in ("a", "b", "c")]
     + [T.StructField("base", T.LongType())]
 )
-ANSWER = T.StructType([T.StructField("block", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ("a", "b"))])
+ANSWER = T.StructType(SENT.fields[:4])
 _SENT_ARROW = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("base", pa.int64())])
-_ANSWER_ARROW = pa.schema([("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
+_ANSWER_ARROW = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 
 
 def parts_for(rows: DataFrame, text: str, per_byte: float) -> int:
     """How many parts the hash range is cut into, for so many hashes per byte of text."""
     size = rows.agg(F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0))).first()[0]
-    return max(shuffle_partitions(rows.sparkSession), int(size * per_byte / PART_HASHES) + 1)
+    return max(2, shuffle_partitions(rows.sparkSession), int(size * per_byte / PART_HASHES) + 1)
 
 
-def sent(block: int, parts: int, a: np.ndarray, b: np.ndarray | None = None, c: np.ndarray | None = None, base: int = 0):
-    """A block's rows of the exchange, one per part that gets something; ``a`` is sorted, ``b`` and ``c`` go along."""
+def keyed(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Part of the range (two or more) above 32 bits of a hash's place in it; parts grow with the data, so places stay rare."""
     width = (1 << 64) // parts + 1
-    edges = np.array([min(p * width, (1 << 64) - 1) for p in range(1, parts)], dtype=np.uint64)
-    cuts = [0, *np.searchsorted(a, edges).tolist(), len(a)]
+    part = hashes // np.uint64(width)
+    shift = max(0, (width - 1).bit_length() - 32)
+    return (part << np.uint64(32)) | ((hashes - part * np.uint64(width)) >> np.uint64(shift))
+
+
+def sent(block: int, parts: int, keys: np.ndarray, b: np.ndarray | None = None, c: np.ndarray | None = None, base: int = 0):
+    """A block's rows of the exchange, one per part that gets something; ``keys`` are sorted, ``b`` and ``c`` go along."""
+    edges = np.arange(1, parts, dtype=np.uint64) << np.uint64(32)
+    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
     rows = [(p, cuts[p], cuts[p + 1]) for p in range(parts) if cuts[p] < cuts[p + 1]]
     if not rows:
         return None
     cut = lambda x: pa.array([None if x is None else x[i:j].tobytes() for _, i, j in rows], pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), cut(a), cut(b), cut(c), pa.array([base] * len(rows), pa.int64())],
+        [
+            pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), cut(keys.astype(np.uint32)), cut(b),
+            cut(c), pa.array([base] * len(rows), pa.int64()),
+        ],
         schema=_SENT_ARROW,
     )
 
 
+def answered(rows: pa.Table) -> np.ndarray:
+    """The keys that parts have sent back to a block, in the order of the rows."""
+    places, row = unpacked(rows.column("a"), np.uint32)
+    return (rows.column("part").to_numpy().astype(np.uint64)[row] << np.uint64(32)) | places
+
+
 def nothing_sent() -> pa.Table:
     return pa.Table.from_batches([], schema=_SENT_ARROW)
 
 
 def answers(emitted: DataFrame, choose: Callable[[pa.Table], Iterator[tuple[int, np.ndarray, np.ndarray | None]]]) -> DataFrame:
-    """(block, a, b) of what ``choose`` makes of all rows of a part, for the blocks that it says."""
+    """(part, block, a, b) of what ``choose`` makes of all rows of a part: (number of the row answered, a, b)."""
 
     def reply(rows: pa.Table) -> pa.Table:
         said = list(choose(rows))
+        at = pa.array([s[0] for s in said], pa.int64())
         cut = lambda k: pa.array([None if s[k] is None else s[k].tobytes() for s in said], pa.binary())
-        return pa.Table.from_arrays([pa.array([s[0] for s in said], pa.int64()), cut(1), cut(2)], schema=_ANSWER_ARROW)
+        held = [rows.column(c).combine_chunks().take(at) for c in ("part", "block")]
+        out = pa.Table.from_arrays([*held, cut(1), cut(2)], schema=_ANSWER_ARROW)
+        del said
+        release()
+        return out
 
     return emitted.groupBy("part").applyInArrow(reply, ANSWER)
 

@@ -10,7 +10,8 @@ by counting and shrinks the other by the counts of smaller symbols, so that both
 in step. The interval's size is the phrase's count in the shard.
 
 Shards sum up in two steps: hashes of all phrases with their counts go to parts of
-the hash range, which answer each shard with those that may be frequent; of these the
+the hash range, which answer each shard with those that may be frequent (hashes may
+coincide, which only makes more of them); of these the
 shards give words and exact counts, which are summed by phrase.
 """
 
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from trendloom.plans.staging import Stage
 
 from ._blocks import (
-    SENT, among, answers, byte_class, in_blocks, mixed, nothing_sent, parts_for, sent, stretches, text_bytes, unpacked,
-    whole_blocks, word_hashes, words_of,
+    SENT, among, answered, answers, byte_class, distinct, in_blocks, keyed, mixed, parts_for, release, sent, stretches, text_bytes,
+    unpacked, whole_blocks, word_hashes, words_of,
 )
 from ._common import table, text_of
 
@@ -126,7 +127,7 @@ class Shard:
         ends = np.cumsum(byte_class(ENDS)[self.data], dtype=np.int64)
         new = np.ones(n, dtype=bool)
         new[1:] = (doc[1:] != doc[:-1]) | (ends[self.starts[1:]] != ends[self.stops[:-1] - 1])
-        salt = word_hashes(*self._strings(self.langs))
+        salt = mixed(word_hashes(*self._strings(self.langs)) + np.uint64(1))
         self.hashes = mixed(word_hashes(self.data, self.starts, self.stops) + salt[self.lang]) if n else np.zeros(0, np.uint64)
         ids = self._numbered()
         at = np.arange(n) + np.cumsum(new)
@@ -142,16 +143,17 @@ class Shard:
         return data, edges[:-1], edges[1:]
 
     def _numbered(self) -> np.ndarray:
-        """Ids from 1 up, equal for equal words of a language; words that only share their hash are told apart by a second one."""
-        values, ids = np.unique(self.hashes, return_inverse=True)
+        """Ids from 1 up, equal for equal words of a language; words that only share their hash are told apart by a second one.
+
+        The hashes that leave the shard stay as they are, so that all shards say the same of a word.
+        """
+        values, ids, _ = distinct(self.hashes)
         other = word_hashes(self.data, self.starts, self.stops, 1)
         one = np.empty(len(values), dtype=np.uint64)
         one[ids] = other
         if (one[ids] != other).any():
-            pairs = np.stack([self.hashes, other], axis=1)
-            _, ids = np.unique(pairs, axis=0, return_inverse=True)
-            self.hashes = mixed(self.hashes ^ other)
-        return ids.reshape(-1) + 1
+            _, ids, _ = distinct(ids.astype(np.uint64) * np.uint64(1 << 40) + distinct(other)[1].astype(np.uint64))
+        return ids + 1
 
     def phrases(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(length, first word of one occurrence, count, hash) of all phrases."""
@@ -170,9 +172,10 @@ def _send_counts(depth: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in whole_blocks(batches):
             levels = list(Shard(rows.column(0), rows.column(1), depth).phrases())
-            h, count = np.concatenate([x[3] for x in levels]), np.concatenate([x[2] for x in levels])
-            order = np.argsort(h)
-            out = sent(block, parts, h[order], count[order].astype(np.uint32))
+            keys = keyed(np.concatenate([x[3] for x in levels]), parts)
+            count = np.concatenate([x[2] for x in levels])
+            order = np.argsort(keys, kind="stable")
+            out = sent(block, parts, keys[order], count[order].astype(np.uint32))
             if out is not None:
                 yield out
 
@@ -181,16 +184,14 @@ def _send_counts(depth: int, parts: int):
 
 def _frequent(least: int):
     def choose(rows: pa.Table):
-        hashes, row = unpacked(rows.column("a"), np.uint64)
+        places, row = unpacked(rows.column("a"), np.uint32)
         counts, _ = unpacked(rows.column("b"), np.uint32)
-        blocks = rows.column("block").to_numpy()
-        values, number = np.unique(hashes, return_inverse=True)
-        total = np.zeros(len(values), dtype=np.int64)
-        np.add.at(total, number, counts.astype(np.int64))
+        _, number, _ = distinct(places)
+        total = np.bincount(number, weights=counts)  # whole numbers, far below 2**53
         often = (total >= least)[number]
         for k, a, b in stretches(row):
             if often[a:b].any():
-                yield int(blocks[k]), hashes[a:b][often[a:b]], None
+                yield k, places[a:b][often[a:b]], None
 
     return choose
 
@@ -198,10 +199,10 @@ def _frequent(least: int):
 COUNTS = "lang string, n int, phrase string, count long"
 
 
-def _give_words(depth: int):
+def _give_words(depth: int, parts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         shard = Shard(left.column("text"), left.column("lang"), depth)
-        often = np.sort(unpacked(right.column("a"), np.uint64)[0])
+        often = np.sort(answered(right))
         lang, n, phrase, counts = [], [], [], []
         for k, number in enumerate(np.bincount(shard.lang, minlength=len(shard.langs)).tolist()):
             lang.append(shard.langs[k])
@@ -209,11 +210,13 @@ def _give_words(depth: int):
             phrase.append("")
             counts.append(number)
         for size, word, count, h in shard.phrases():
-            mine = np.flatnonzero(among(h, often))
+            mine = np.flatnonzero(among(keyed(h, parts), often))
             lang += [shard.langs[k] for k in shard.lang[word[mine]].tolist()]
             n += [size] * len(mine)
             phrase += [shard.phrase(w, size) for w in word[mine].tolist()]
             counts += count[mine].tolist()
+        del shard
+        release()
         return pa.table(
             [pa.array(lang, pa.string()), pa.array(n, pa.int32()), pa.array(phrase, pa.string()), pa.array(counts, pa.int64())],
             names=["lang", "n", "phrase", "count"],
@@ -234,7 +237,7 @@ def phrase_counts(
     blocks = in_blocks(stage, rows, "text")
     parts = parts_for(blocks, "text", 0.15 * max_words)
     often = stage.write(answers(blocks.mapInArrow(_send_counts(max_words, parts), SENT), _frequent(least)))
-    given = blocks.groupBy("_block").cogroup(often.groupBy("block")).applyInArrow(_give_words(max_words), COUNTS)
+    given = blocks.groupBy("_block").cogroup(often.groupBy("block")).applyInArrow(_give_words(max_words, parts), COUNTS)
     total = given.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"))
     counts = stage.write(total.filter((F.col("n") == 0) | (F.col("count") >= least)))
     stage.drop(often)

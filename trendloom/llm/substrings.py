@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from trendloom.plans.staging import Stage
 
 from ._blocks import (
-    SENT, among, answers, byte_class, gram_hashes, in_blocks, nothing_sent, parts_for, sent, stretches, text_bytes, unpacked,
-    whole_blocks, word_hashes, words_of,
+    SENT, among, answered, answers, byte_class, gram_hashes, in_blocks, keyed, nothing_sent, parts_for, release, sent, stretches,
+    text_bytes, unpacked, whole_blocks, word_hashes, words_of,
 )
 from ._common import shuffle_partitions, table, text_of
 
@@ -76,11 +76,10 @@ class Words:
             flags[at[self.place[at] >= shift] - shift] = True
         return np.flatnonzero(flags & self.fits())
 
-    def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """96 bits of hash of the windows at these words."""
+    def windows(self, at: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Key and a second hash of the windows at these words: 96 bits, and those of the part."""
         other = word_hashes(self.data, self.starts, self.stops, 1)
-        high = gram_hashes(self.hashes, self.window)[at]
-        return high, gram_hashes(other, self.window, 1)[at].astype(np.uint32)
+        return keyed(gram_hashes(self.hashes, self.window)[at], parts), gram_hashes(other, self.window, 1)[at]
 
 
 def _runs(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,16 +97,16 @@ def _send_anchors(window: int, parts: int):
             words = Words(rows.column(1), window)
             at, hashes = words.anchors()
             ids = rows.column(0).to_numpy()[words.doc[at]]
-            order = np.lexsort((ids, hashes))
-            h, d = hashes[order], ids[order]
+            one = np.uint64(1)
+            keys = keyed(hashes, parts) & ~one
+            order = np.lexsort((ids, keys))
+            h, d = keys[order], ids[order]
             new = np.ones(len(h), dtype=bool)
             new[1:] = h[1:] != h[:-1]
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(h)) - 1
             # The lowest bit says whether the block alone has the anchor in several documents.
-            one = np.uint64(1)
-            marked = np.sort((h[first] & ~one) | (d[first] != d[last]).astype(np.uint64)) if len(h) else h
-            out = sent(block, parts, marked)
+            out = sent(block, parts, h[first] | (d[first] != d[last]).astype(np.uint64))
             if out is not None:
                 yield out
 
@@ -115,9 +114,8 @@ def _send_anchors(window: int, parts: int):
 
 
 def _shared_anchors(rows: pa.Table):
-    hashes, row = unpacked(rows.column("a"), np.uint64)
-    blocks = rows.column("block").to_numpy()
-    bare = hashes >> np.uint64(1)
+    places, row = unpacked(rows.column("a"), np.uint32)
+    bare = places & ~np.uint32(1)
     order = np.argsort(bare, kind="stable")
     b = bare[order]
     same = np.zeros(len(b), dtype=bool)
@@ -125,22 +123,21 @@ def _shared_anchors(rows: pa.Table):
     same[:-1] |= same[1:]
     shared = np.empty(len(b), dtype=bool)
     shared[order] = same
-    shared |= (hashes & np.uint64(1)).astype(bool)
+    shared |= (places & np.uint32(1)).astype(bool)
     for k, a, b in stretches(row):
-        mine = bare[a:b][shared[a:b]]
-        if len(mine):
-            yield int(blocks[k]), mine, None
+        if shared[a:b].any():
+            yield k, bare[a:b][shared[a:b]], None
 
 
 def _send_windows(window: int, parts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return nothing_sent()
-        shared = np.sort(unpacked(right.column("a"), np.uint64)[0])
+        shared = np.sort(answered(right))
         words = Words(left.column("text"), window)
         at, hashes = words.anchors()
-        at = words.near(at[among(hashes >> np.uint64(1), shared)])
-        high, low = words.windows(at)
+        at = words.near(at[among(keyed(hashes, parts) & ~np.uint64(1), shared)])
+        high, low = words.windows(at, parts)
         ids = left.column("id").to_numpy()
         if not len(at):
             return nothing_sent()
@@ -157,14 +154,13 @@ def _send_windows(window: int, parts: int):
 
 def _older_windows(rows: pa.Table):
     """For each block its windows that a smaller document of another block has, too."""
-    high, row = unpacked(rows.column("a"), np.uint64)
-    low, _ = unpacked(rows.column("b"), np.uint32)
+    high, row = unpacked(rows.column("a"), np.uint32)
+    low, _ = unpacked(rows.column("b"), np.uint64)
     bases = rows.column("base").to_pylist()
     ids = []
     for packed, size, base in zip(rows.column("c").to_pylist(), np.bincount(row, minlength=rows.num_rows).tolist(), bases):
         ids.append(np.frombuffer(packed, f"u{len(packed) // size}").astype(np.int64) + base)
     ids = np.concatenate(ids)
-    blocks = rows.column("block").to_numpy()
     order, first = _runs(high, low)
     sizes = np.diff(np.append(first, len(order)))
     least = np.empty(len(ids), dtype=np.int64)
@@ -173,10 +169,10 @@ def _older_windows(rows: pa.Table):
     for k, a, b in stretches(row):
         mine = older[a:b]
         if mine.any():
-            yield int(blocks[k]), high[a:b][mine], low[a:b][mine]
+            yield k, high[a:b][mine], low[a:b][mine]
 
 
-def _kept(window: int):
+def _kept(window: int, parts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         words = Words(left.column("text"), window)
         n = left.num_rows
@@ -186,13 +182,13 @@ def _kept(window: int):
         at = at[known[words.doc[at]]]
         if len(at):
             ids = left.column("id").fill_null(0).to_numpy()[words.doc[at]]
-            high, low = words.windows(at)
+            high, low = words.windows(at, parts)
             order, first = _runs(high, low)
             least = np.empty(len(at), dtype=np.int64)
             least[order] = np.repeat(np.minimum.reduceat(ids[order], first), np.diff(np.append(first, len(order))))
             repeated = least < ids
-            h, _ = unpacked(right.column("a"), np.uint64)
-            l, _ = unpacked(right.column("b"), np.uint32)
+            h = answered(right)
+            l, _ = unpacked(right.column("b"), np.uint64)
             if len(h):
                 # Equal hashes get one number, so that those sent back can be looked up among the block's.
                 o, f = _runs(np.concatenate([high, h]), np.concatenate([low, l]))
@@ -224,6 +220,7 @@ def _kept(window: int):
         per_doc = np.bincount(doc, weights=sizes + lead, minlength=n).astype(np.int64)
         offsets = np.concatenate([[0], np.cumsum(per_doc)])
         texts = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
+        release()
         return pa.Table.from_arrays(
             [left.column("id"), pa.array(words.counts, pa.int64()), pa.array(counts, pa.int64()), texts.cast(pa.string())],
             names=["id", "n_words", "n_removed", "kept"],
@@ -259,7 +256,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         T.StructField("id", T.LongType()), T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()),
     ])
-    out = blocks.groupBy("_block").cogroup(older.groupBy("block")).applyInArrow(_kept(window), schema)
+    out = blocks.groupBy("_block").cogroup(older.groupBy("block")).applyInArrow(_kept(window, parts), schema)
     return out.select(F.col("id").cast(kind).alias(doc_id), "n_words", "n_removed", "kept")
 
 
