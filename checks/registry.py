@@ -819,7 +819,7 @@ def _vectors(spark, sf):
     "unit_vectors",
     """SELECT vec_id, round_even(list_sum(list_transform(u, lambda x: x * x)) * 1e4, 0) / 1e4 AS length,
       list_transform(u, lambda x: round_even(x * 1e4, 0) / 1e4 + 0.0) AS values
-    FROM (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u
+    FROM (SELECT vec_id, list_transform(v, lambda x: (x / sqrt(list_inner_product(v, v)))::FLOAT::DOUBLE) AS u
           FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings))""",
 )
 def unit_vectors(spark, sf):

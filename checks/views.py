@@ -41,11 +41,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread over all tasks: a given file is one row group, which one task would read and explode."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with the document it discusses."""
     docs = table(spark, sf_dir, "documents")
     n = docs.count()
-    keyed = events(spark, sf_dir).withColumn("doc_id", F.pmod("event_id", F.lit(n)))
+    # either side may be broadcast, and then the other one keeps its partitions
+    docs = dealt(docs, "doc_id")
+    keyed = dealt(events(spark, sf_dir), "event_id").withColumn("doc_id", F.pmod("event_id", F.lit(n)))
     return keyed.join(docs, "doc_id")
 
 
@@ -54,7 +61,7 @@ def _title() -> Column:
 
 
 def _body() -> Column:
-    return F.substring("text", 81, 10_000_000)
+    return F.substring("text", 81, 2_147_483_647)
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,13 +133,14 @@ def brand_lists(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     A word is a name when 3 to 8 sources use it; ``with``, ``this`` and ``from``
     are added by frequency rules of the filters, not by hand.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
     head = docs.select("source", F.split(norm_text(F.concat(_title(), F.lit(" "), _body())), " ").alias("w"))
     singles = (
-        head.select("source", F.explode("w").alias("raw"))
+        head.select("source", F.explode(F.array_distinct("w")).alias("raw"))
         .filter(F.length("raw") >= 4)
+        .distinct()
         .groupBy("raw")
-        .agg(F.count_distinct("source").alias("n"))
+        .agg(F.count("source").alias("n"))
         .filter(F.col("n").between(3, 8) | F.col("raw").isin("with", "this", "from"))
     )
     pairs = (
@@ -146,8 +154,9 @@ def brand_lists(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         )
         .filter(F.col("p.b").isNotNull())
         .select("source", F.concat_ws("-", "p.a", "p.b").alias("raw"))
+        .distinct()
         .groupBy("raw")
-        .agg(F.count_distinct("source").alias("n"))
+        .agg(F.count("source").alias("n"))
         .filter(F.col("n").between(2, 6))
     )
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal"), F.col("p_name").alias("raw"))

@@ -36,27 +36,33 @@ def fill_nulls(df: DataFrame) -> DataFrame:
     return out
 
 
-def ner_input(max_chars: int = NER_CHARS) -> Column:
+def ner_input(max_chars: int | None = NER_CHARS) -> Column:
     return strip(F.concat(or_empty("title"), F.lit(". "), head(or_empty("text"), max_chars)))
 
 
 def clean_mentions(
-    df: DataFrame, min_len: int = MIN_LENGTH, order: list[Column | str] | None = None
+    df: DataFrame,
+    min_len: int = MIN_LENGTH,
+    order: list[Column | str] | None = None,
+    max_chars: int | None = NER_CHARS,
 ) -> DataFrame:
-    """Deduplicate, fill nulls, add ``ner_input``, drop the rows that are too short."""
+    """Deduplicate, fill nulls, add ``ner_input`` (``max_chars`` of text, None: all), drop the rows that are too short."""
     return (
         fill_nulls(dedup_mentions(df, order))
-        .withColumn("ner_input", ner_input())
+        .withColumn("ner_input", ner_input(max_chars))
         .filter(F.length("ner_input") >= min_len)
     )
 
 
 def clean_report(
-    df: DataFrame, min_len: int = MIN_LENGTH, order: list[Column | str] | None = None
+    df: DataFrame,
+    min_len: int = MIN_LENGTH,
+    order: list[Column | str] | None = None,
+    max_chars: int | None = NER_CHARS,
 ) -> DataFrame:
     """One row: raw rows, rows after dedup, rows after the length filter."""
     # One scan and one shuffle of narrow rows: the copies of an id are counted as the first one's length is found.
-    long_ = (F.length(ner_input()) >= min_len).cast("bigint")
+    long_ = (F.length(ner_input(max_chars)) >= min_len).cast("bigint")
     rows = df.select("mention_id", long_.alias("_long"), *_narrow(df, order))
     first = Window.partitionBy("mention_id").orderBy(*_order(df, order))
     each = rows.withColumn("_copy", F.row_number().over(first))

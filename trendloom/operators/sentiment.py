@@ -73,7 +73,7 @@ def sentiment_label(c: Column | str) -> Column:
     return F.when(s >= POSITIVE_AT, "positive").when(s <= NEGATIVE_AT, "negative").otherwise("neutral")
 
 
-def scored_text(max_chars: int = MAX_CHARS) -> Column:
+def scored_text(max_chars: int | None = MAX_CHARS) -> Column:
     """title, a space, and the first ``max_chars`` characters of text."""
     return F.concat(or_empty("title"), F.lit(" "), head(or_empty("text"), max_chars))
 
@@ -83,7 +83,7 @@ def sentiment_scores(
     lexicon: DataFrame,
     *,
     keep: list[str] | None = None,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = MAX_CHARS,
     rules: bool | Rules = False,
 ) -> DataFrame:
     """One row per post: ``mention_id``, the ``keep`` columns and five sentiment columns.
@@ -120,7 +120,7 @@ def score_sentiment(
     df: DataFrame,
     lexicon: DataFrame,
     *,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = MAX_CHARS,
     rules: bool | Rules = False,
 ) -> DataFrame:
     """``df`` with the five sentiment columns.

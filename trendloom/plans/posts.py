@@ -27,31 +27,36 @@ def run_stages(
     min_samples: int = Z.MIN_SAMPLES,
     min_cluster_size: int = Z.MIN_CLUSTER_SIZE,
     eps: float | None = None,
+    whole_texts: bool = False,
 ) -> DataFrame:
     """Run the named stages in order and return the last one's table.
 
     Every stage reads what the one before has stored under ``base``, so a
     single stage can be run again, and with ``resume`` finished stages are
-    skipped. ``clusters`` is the sentiment table with ``cluster_id``.
+    skipped. ``clusters`` is the sentiment table with ``cluster_id``. By default the
+    stages read the first 400 or 500 characters of a text; ``whole_texts`` makes all
+    of them read texts to their end.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}")
 
+    chars = {"max_chars": None} if whole_texts else {}
+
     def stored(stage: str) -> DataFrame:
         return spark.read.parquet(f"{base}/{stage}")
 
     def clean() -> DataFrame:
-        out = clean_mentions(raw)
+        out = clean_mentions(raw, **chars)
         if dict(out.dtypes)["published_at"] == "string":
             out = out.withColumn("published_at", parse_published_at("published_at"))
         return out
 
     def sentiment() -> DataFrame:
-        return score_sentiment(stored("clean"), lexicon, rules=rules)
+        return score_sentiment(stored("clean"), lexicon, rules=rules, **chars)
 
     def embeddings() -> DataFrame:
-        return E.embed_text(stored("sentiment"))
+        return E.embed_text(stored("sentiment"), **chars)
 
     def reduced() -> DataFrame:
         return E.reduce_dims(stored("embeddings")).select("mention_id", "reduced")
