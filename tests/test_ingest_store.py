@@ -223,3 +223,44 @@ def test_window_filter_prunes_folders(spark, tmp_path):
         "SELECT sum(current_mentions + previous_mentions) FROM category_stats WHERE window_id = 0"
     ).first()[0]
     assert cur_prev == spark.sql("SELECT sum(mentions) FROM weekly WHERE window_id = 0").first()[0]
+
+
+def _tables(spark, mark):
+    from trendloom.schema import DASHBOARD
+
+    out = {}
+    for name, schema in DASHBOARD.items():
+        empty = spark.createDataFrame([], schema)
+        columns = [F.lit(0 if c == "window_id" else None).cast(schema[c].dataType).alias(c) for c in schema.names]
+        rows = spark.range(mark).select(*columns)
+        out[name] = rows.unionByName(empty)
+    return out
+
+
+def test_dashboards_are_published_whole(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "board")
+    with pytest.raises(FileNotFoundError):
+        T.read_dashboard(spark, path)
+    assert T.write_dashboard(_tables(spark, 1), path) == 1
+    first = T.read_dashboard(spark, path)
+    # a run that stops between two tables leaves the edition before readable
+    broken = _tables(spark, 2)
+    last = list(broken)[-1]
+    broken[last] = broken[last].withColumn("window_id", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        T.write_dashboard(broken, path)
+    assert {n: t.count() for n, t in T.read_dashboard(spark, path).items()} == dict.fromkeys(broken, 1)
+    assert T.write_dashboard(_tables(spark, 3), path) == 2
+    assert {t.count() for t in T.read_dashboard(spark, path).values()} == {3}
+    # readers of the edition before can finish; the one after the next takes its place
+    assert {t.count() for t in first.values()} == {1}
+    assert {t.count() for t in T.read_dashboard(spark, path, edition=1).values()} == {1}
+    assert T.write_dashboard(_tables(spark, 4), path) == 3
+    assert sorted(T.dashboard_editions(spark, path)) == [2, 3]
+    assert sorted(n for n in os.listdir(path + "/editions") if n[0] != ".") == ["000000000002", "000000000003"]
+    with pytest.raises(FileNotFoundError):
+        T.read_dashboard(spark, path, edition=1)
+    with pytest.raises(RuntimeError):
+        T._put(spark, path + "/editions", "000000000003", "other")
