@@ -45,6 +45,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all stretches that begin at ``starts``, one stretch behind the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
 class BiIndex:
     """Depth-limited bidirectional index of a sequence of ids from 1 up; 0 separates."""
 
@@ -136,6 +142,7 @@ class Shard:
         self.word_at = np.zeros(len(sequence), dtype=np.int64)
         self.word_at[at] = np.arange(n)
         self.index = BiIndex(sequence, depth)
+        self._joined = None
 
     @staticmethod
     def _strings(values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,8 +171,23 @@ class Shard:
                 h = h * np.uint64(0x9E3779B97F4A7C15) + self.hashes[word + j]
             yield n, word, count, mixed(h)
 
-    def phrase(self, word: int, n: int) -> str:
-        return b" ".join(self.data[self.starts[k] : self.stops[k]].tobytes() for k in range(word, word + n)).decode()
+    def strings(self, words: np.ndarray, n: int) -> pa.Array:
+        """The phrases of ``n`` words from these words on, words joined by one space."""
+        # All words of the shard with one space behind each: a phrase is one stretch of it.
+        if self._joined is None:
+            sizes = self.stops - self.starts
+            at = np.cumsum(sizes + 1) - sizes - 1
+            joined = np.full(int(at[-1] + sizes[-1] + 1), 0x20, dtype=np.uint8)
+            joined[spread(at, sizes)] = self.data[spread(self.starts, sizes)]
+            self._joined = joined, at, at + sizes
+        if not len(words):
+            return pa.array([], pa.string())
+        joined, starts, stops = self._joined
+        first, size = starts[words], stops[words + n - 1] - starts[words]
+        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        data = joined[spread(first, size)]
+        held = pa.Array.from_buffers(pa.large_string(), len(words), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+        return held.cast(pa.string())
 
 
 def _send_counts(depth: int, parts: int):
@@ -203,24 +225,18 @@ def _give_words(depth: int, parts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         shard = Shard(left.column("text"), left.column("lang"), depth)
         often = np.sort(answered(right))
-        lang, n, phrase, counts = [], [], [], []
-        for k, number in enumerate(np.bincount(shard.lang, minlength=len(shard.langs)).tolist()):
-            lang.append(shard.langs[k])
-            n.append(0)
-            phrase.append("")
-            counts.append(number)
-        for size, word, count, h in shard.phrases():
+        names = pa.array(shard.langs, pa.string())
+        totals = np.bincount(shard.lang, minlength=len(names))
+        found = [(names, np.zeros(len(names), np.int32), pa.array([""] * len(names), pa.string()), totals)]
+        for n, word, count, h in shard.phrases():
             mine = np.flatnonzero(among(keyed(h, parts), often))
-            lang += [shard.langs[k] for k in shard.lang[word[mine]].tolist()]
-            n += [size] * len(mine)
-            phrase += [shard.phrase(w, size) for w in word[mine].tolist()]
-            counts += count[mine].tolist()
+            word = word[mine]
+            found.append((names.take(pa.array(shard.lang[word])), np.full(len(mine), n, np.int32), shard.strings(word, n), count[mine]))
         del shard
         release()
-        return pa.table(
-            [pa.array(lang, pa.string()), pa.array(n, pa.int32()), pa.array(phrase, pa.string()), pa.array(counts, pa.int64())],
-            names=["lang", "n", "phrase", "count"],
-        )
+        kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+        columns = [pa.chunked_array([pa.array(f[k], kind) for f in found], kind) for k, kind in enumerate(kinds)]
+        return pa.table(columns, names=["lang", "n", "phrase", "count"])
 
     return run
 
