@@ -7,7 +7,7 @@ occurs twice, some shift below the period brings both occurrences onto a cover
 position at once, so the two share an anchor of ``window`` - period + 1 words. Only
 where an anchor is shared are the full windows around it hashed and compared.
 
-Documents lie in blocks, sorted by id. Anchors, then windows, go from blocks to parts
+Documents lie in blocks, as they are read. Anchors, then windows, go from blocks to parts
 of the hash range and back (``_blocks``): no pairs are made, and a passage that a
 third of all documents hold is one entry per block.
 """
@@ -28,7 +28,7 @@ from ._blocks import (
     SENT, among, answered, answers, byte_class, gram_hashes, in_blocks, keyed, nothing_sent, parts_for, release, sent, stretches,
     text_bytes, unpacked, whole_blocks, word_hashes, words_of,
 )
-from ._common import shuffle_partitions, table, text_of
+from ._common import table, text_of
 
 WINDOW = 13
 # Perfect difference sets, by period.
@@ -244,7 +244,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stage = Stage(spark, "substrings")
     kind = docs.schema[doc_id].dataType
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(F.col(text)).alias("text"))
-    rows = rows.repartitionByRange(shuffle_partitions(spark), "id").sortWithinPartitions("id")
     blocks = in_blocks(stage, rows, "text")
     with_id = blocks.filter(F.col("id").isNotNull())
     parts = parts_for(with_id, "text", 0.08)
