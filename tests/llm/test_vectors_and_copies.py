@@ -1,5 +1,6 @@
 """Near duplicates of texts and vectors and exact top-k, against comparing everything."""
 
+import math
 import random
 import tracemalloc
 from collections import defaultdict
@@ -180,3 +181,25 @@ def test_impact_index_is_exact(spark):
     few = impact.top_inner_products(table.filter("vec_id < 3"), F.col("id") == 0, k=20)
     assert [(r.query_id, r.rank) for r in few.collect()] == [(0, 1), (0, 2)]
     assert impact.top_inner_products(table.limit(0), F.col("id") == 0).count() == 0
+
+
+def test_impact_index_takes_null_ids_repeats_and_large_components(spark):
+    rows = [
+        (0, [1.0, 2.0, 0.5]), (None, [1.0, 2.0, 0.5]), (0, [1.0, 2.0, 0.5]), (7, [1.0, 2.0, 0.5]), (5, [4e7, -3e7, 1.0]),
+        (20, [9e6, 0.0, -1.25]), (40, [0.0, 0.0, 1e15]), (8, [-0.01, 0.3, 0.0]), (9, []), (60, [0.0, 1e305]),
+    ]
+    table = spark.createDataFrame([(*r, 3) for r in rows], "vec_id long, embedding array<double>, score int")
+    out = impact.top_inner_products(table.filter("vec_id is null or vec_id < 60"), F.col("id") % 20 == 0, k=4, block=3).collect()
+    due = []
+    for i, (q, x) in enumerate(rows[:-1]):
+        if q is not None and q % 20 == 0:
+            one = [math.floor(64 * c) for c in x]
+            found = [
+                (-sum(a * math.floor(64 * b) for a, b in zip(one, y)), v is None, v or 0) for j, (v, y) in enumerate(rows[:-1]) if j != i
+            ]
+            due += [(q, r + 1, None if f[1] else f[2], -f[0]) for r, f in enumerate(sorted(found)[:4])]
+    assert sorted(map(repr, due)) == sorted(repr((r.query_id, r["rank"], r.vec_id, r.score)) for r in out)
+    with pytest.raises(Exception, match="OverflowError|too large|too big"):
+        impact.top_inner_products(table, F.col("id") == 60, k=20).collect()
+    far = impact.top_inner_products(table.filter("vec_id in (8, 9, 60)"), F.col("id") == 9, k=2).collect()
+    assert [(r.vec_id, r.score) for r in sorted(far, key=lambda r: r["rank"])] == [(8, 0), (60, 0)]
