@@ -221,3 +221,28 @@ def test_scores_of_texts(spark, awkward, monkeypatch):
     assert want == sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out)
     assert all(r.score < 0 and math.isfinite(r.score) for r in out)
     assert lattice.score_texts(awkward.limit(0)).count() == 0
+
+
+def test_lattices_left_out_hold_no_evidence():
+    words = {"moron": 5.0, "idiots": 4.0, "trashy": 3.0, "^lose": 3.5, "scum": 4.5}
+    trigrams = Counter()
+    for w in [*(w.lstrip("^") for w in words), "loser", "such", "today", "there", "letters", "small"]:
+        padded = f"^^{w}^"
+        trigrams.update(padded[k : k + 3] for k in range(len(padded) - 2))
+    model = toxicity.Model(words, toxicity.CharModel(dict(trigrams)), np.zeros(5))
+    imitating = {c: [k for k, v in toxicity.LEET.items() if c in v] for c in "abcdefghijklmnopqrstuvwxyz"}
+    rng, searched = random.Random(5), 0
+    for _ in range(4000):
+        seen = rng.choice(["", "", "x", "a ", "!", "-"])
+        for c in rng.choice([w.lstrip("^") for w in words] + ["letters", "hello", "10,000"]):
+            seen += rng.choice(imitating.get(c) or [c]) if rng.random() < 0.3 else c * rng.choice([1, 1, 1, 2, 3])
+            seen += rng.choice(["", "", "", " ", ".", "-"])
+        found = any(model.weigh(w) > 0 for w in model.chars.restore(seen))
+        searched += model.may_hold(seen)
+        assert model.may_hold(seen) or not found, seen
+        assert model.may_hold(seen, anywhere=True) or not model.may_hold(seen), seen
+    assert 0 < searched < 4000
+    for text in ("such a m o r o n today", "I i d i o t s", "x t r a s h y", "a l 0 s 3 r", "m0ron", "trrraaashy", "s.c.u.m"):
+        assert model.evidence(text)[0] >= 3.0, text
+    for text in ("such a b o o k today", "x y z", "letters 10,000", "", "a " * 500):
+        assert model.evidence(text) == (0.0, 0.0, 0.0), text

@@ -74,6 +74,17 @@ def release() -> None:
         _trim()(0)
 
 
+def releasing(task: Callable) -> Callable:
+    """A function over batches that gives memory back before its first and after its last one."""
+
+    def run(batches: Iterator) -> Iterator:
+        release()
+        yield from task(batches)
+        release()
+
+    return run
+
+
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts of a column (null: empty), one behind the other, and where each starts and ends."""
     column = pc.fill_null(column, "").cast(pa.large_string())

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from trendloom.plans.sizing import fits_broadcast
 from trendloom.plans.staging import Stage
 
+from ._blocks import releasing
 from ._common import table, text_of
 from ._components import components
 
@@ -221,7 +222,7 @@ class _Job:
         kind = docs.schema[doc_id].dataType.simpleString()
         lanes = ", ".join(f"s{i} long" for i in range(LANES))
         self.signed = self.stage.write(
-            self.texts.mapInArrow(_signatures(width), f"id {kind}, n long, key binary, bands array<long>, {lanes}")
+            self.texts.mapInArrow(releasing(_signatures(width)), f"id {kind}, n long, key binary, bands array<long>, {lanes}")
         )
         one = ["n", "bands", *(f"s{i}" for i in range(LANES))]
         grouped = self.signed.filter("n > 0").groupBy("key").agg(
@@ -259,7 +260,7 @@ class _Job:
         here = F.broadcast(ids) if fits_broadcast(ids) else ids
         # A class without any id is found among the rows without one.
         found = self.texts.join(here, self.texts["id"].eqNullSafe(here["id"]), "left_semi").select("x")
-        keyed = found.mapInArrow(_keyed_texts(self.width), "key binary, x string")
+        keyed = found.mapInArrow(releasing(_keyed_texts(self.width)), "key binary, x string")
         matched = keyed.join(wanted.select("key", "cls"), "key").groupBy("cls").agg(F.any_value("x").alias("x"))
         return self.stage.write(matched)
 
@@ -271,7 +272,7 @@ class _Job:
         stars = placed.select(F.col("a").alias("star"), "part", F.lit(0).alias("member"), F.col("a").alias("cls")).distinct()
         rows = members.unionByName(stars).join(texts, "cls").select("star", "part", "member", "cls", "x")
         rows = rows.repartition("star", "part").sortWithinPartitions("star", "part", "member")
-        return self.stage.write(rows.mapInArrow(_similar_stars(self.width, *self.least), "a long, b long"))
+        return self.stage.write(rows.mapInArrow(releasing(_similar_stars(self.width, *self.least)), "a long, b long"))
 
 
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -315,7 +316,7 @@ def near_duplicates(
     ).filter("groups > 1").select("bucket", F.col("top.root").alias("top"))
     open_buckets = stage.write(placed.join(largest, "bucket"))
     open_texts = job.texts_of(open_buckets.select("cls"))
-    fine = stage.write(open_texts.mapInArrow(_fine_sketches(width), "cls long, fine array<long>"))
+    fine = stage.write(open_texts.mapInArrow(releasing(_fine_sketches(width)), "cls long, fine array<long>"))
     sketches = job.classes.select("cls", "n", "bands", *(f"s{i}" for i in range(LANES))).join(fine, "cls")
     mixed = open_buckets.join(sketches, "cls")
     minor = mixed.filter("root <> top").select(*[F.col(c).alias(f"a_{c}") for c in mixed.columns])

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._blocks import release
 from ._common import table, text_of
 
 SAMPLE_ROWS = 100_000  # documents read for fitting, at most; the choice goes by a hash of the text
@@ -365,10 +366,12 @@ def secrets(model: Crf, text: Column) -> Column:
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            out = []
+            out = [pa.array([], type=kind)]
             for part in _portions(batch):
-                out += [[{"kind": k, "start": a, "end": b} for a, b, k in s] for s in model.find(part)]
-            yield pa.array(out, type=kind)
+                spans = [[{"kind": k, "start": a, "end": b} for a, b, k in s] for s in model.find(part)]
+                out.append(pa.array(spans, type=kind))
+            yield pa.concat_arrays(out)
+            release()
 
     return found(text_of(text))
 
@@ -379,8 +382,9 @@ def redacted(model: Crf, text: Column, mark: str = "[secret]") -> Column:
     @F.arrow_udf("string")
     def cleaned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = []
+            out = [pa.array([], type=pa.string())]
             for part in _portions(batch):
+                new = []
                 for x, spans in zip(part, model.find(part)):
                     pieces, at = [], 0
                     for a, b, _ in spans:
@@ -389,8 +393,10 @@ def redacted(model: Crf, text: Column, mark: str = "[secret]") -> Column:
                         if a > at or not at:
                             pieces += [x[at:a], mark]
                         at = b
-                    out.append("".join([*pieces, x[at:]]) if spans else x)
-            yield pa.array(out, type=pa.string())
+                    new.append("".join([*pieces, x[at:]]) if spans else x)
+                out.append(pa.array(new, type=pa.string()))
+            yield pa.concat_arrays(out)
+            release()
 
     return F.when(text.isNotNull(), cleaned(text_of(text)))
 
