@@ -5,7 +5,10 @@ tokens (states: outside, begin, inside) finds what stands and looks like one. It
 features are the shape, length, character classes and entropy of a token and of
 its two neighbours on either side, neighbouring words, and what kind of file it
 is. It is fitted by maximum likelihood on windows around matches of the patterns
-and on windows without any, and decoded by Viterbi.
+and on windows without any, and decoded by Viterbi. So that it learns more than
+the patterns know, every window is fitted on a second time in another form:
+secrets drawn anew in other alphabets and lengths, under other names or none;
+numbers, dates, paths, addresses and identifiers in clean windows.
 
 Scores of a token are looked up once per task and distinct token. Where a
 token's outside score leads by more than two transitions could win back, the
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -24,15 +28,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ._blocks import release
 from ._common import table, text_of
 
 SAMPLE_ROWS = 100_000  # documents read for fitting, at most; the choice goes by a hash of the text
-WINDOWS = 3_000  # windows with and without a match fitted on, at most of each
+WINDOWS = 1_500  # windows with and without a match fitted on, at most of each, in two forms
 REACH = 12  # tokens on either side of a match in its window
+FORMS = 10  # other forms of a window with a match, at most
+PER_TEXT = 4  # matches of a text that give windows
+CLEAN_TEXTS = 16  # one in so many texts without a match gives a window
+TOKEN_CHARS = 512  # a longer token of a window is cut for fitting; scoring reads all of it
 DIMENSIONS = 1 << 14
 CACHE = 60_000  # tokens whose row a task remembers
 OFFSETS = (-2, -1, 0, 1, 2)
@@ -47,6 +55,22 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "crf")
 TOKEN = re.compile(r"\w+(?:[+/.\-]+\w+)*=*|[^\w\s]")
 
+# What drawn secrets are made of, and names that they stand behind.
+LOWER, CAPITALS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = (
+    DIGITS + "abcdef", DIGITS + "ABCDEF", DIGITS + LOWER, DIGITS + CAPITALS, DIGITS + LOWER + CAPITALS,
+    DIGITS + LOWER + CAPITALS, DIGITS + LOWER + CAPITALS + "+/", DIGITS + LOWER + CAPITALS + "-_",
+)
+NAMES = (
+    "pwd", "pass", "auth", "key", "private_key", "access_key", "AWS_KEY", "credential", "bearer", "signature",
+    "client_id", "PASS", "authorization", "signing_key",
+)
+FIELDS = (
+    "id", "name", "date", "state", "version", "path", "host", "count", "size", "user", "price", "ref", "url", "call",
+    "ip", "mail", "phone", "card", "time", "order",
+)
+KEYWORD = re.compile(r"(?ai:password|passwd|secret|token|api_?key)=*")
+
 
 def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     """(start, end, kind, start of the secret itself) of the patterns' matches, by start, then kind as listed."""
@@ -67,21 +91,23 @@ def signature(token: str) -> tuple:
         return (case, size)
     if len(token) == 1:
         return (token if token.isascii() and not token.isdigit() else "9" if token.isdigit() else "?", size)
-    part = token[:256]
-    kinds = ["9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in part]
-    shape = "".join(k for i, k in enumerate(kinds) if not i or k != kinds[i - 1])
-    counts = Counter(part).values()
-    entropy = -sum(n / len(part) * math.log2(n / len(part)) for n in counts)
-    letters = set(part)
+    counts = Counter(token)
+    shape = "".join(kind for kind, _ in itertools.groupby(map(_kind, token)))
+    digits = sum(n for c, n in counts.items() if c.isdigit())
+    entropy = -sum(n / len(token) * math.log2(n / len(token)) for n in counts.values())
     charset = (
-        "digits" if part.isdigit() else "hex" if letters <= set("0123456789abcdef")
-        else "caps" if part.isupper() and part.isalnum() else "alnum" if part.isalnum() else "other"
+        "digits" if token.isdigit() else "hex" if counts.keys() <= set("0123456789abcdef")
+        else "caps" if token.isupper() and token.isalnum() else "alnum" if token.isalnum() else "other"
     )
     return (
-        shape[:6], size, charset, 4 * kinds.count("9") // len(part), int(2 * entropy), min(len(shape) // 3, 6),
+        shape[:6], size, charset, 4 * digits // len(token), int(2 * entropy), min(len(shape) // 3, 6),
     )
 
 
+def _kind(c: str) -> str:
+    return "9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
+
+
 def _dimension(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "replace")) % DIMENSIONS
 
@@ -246,7 +272,7 @@ def _windows(sample: DataFrame) -> DataFrame:
             rows = [[], [], [], [], []]
             for text, at in zip((x.as_py() for x in batch.column(0)), batch.column(1).to_pylist()):
                 spans = base_spans(text)
-                if not spans and at % 16:
+                if not spans and at % CLEAN_TEXTS:
                     continue
                 found = list(TOKEN.finditer(text))
                 states = [OUTSIDE] * len(found)
@@ -258,12 +284,12 @@ def _windows(sample: DataFrame) -> DataFrame:
                         states[i:j] = [BEGIN] + [INSIDE] * (int(j - i) - 1)
                         centres.append(int(i))
                 if not spans and found:
-                    centres = [at // 16 % len(found)]
+                    centres = [at // CLEAN_TEXTS % len(found)]
                 file = file_features(text, len(found))
-                for c in centres[:4]:
+                for c in centres[:PER_TEXT]:
                     a, b = max(0, c - REACH), c + REACH + 1
                     for column, value in zip(
-                        rows, (bool(spans), at, [m[0][:512] for m in found[a:b]], states[a:b], file)
+                        rows, (bool(spans), at, [m[0][:TOKEN_CHARS] for m in found[a:b]], states[a:b], file)
                     ):
                         column.append(value)
             kinds = (pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()))
@@ -276,6 +302,68 @@ def _windows(sample: DataFrame) -> DataFrame:
     )
 
 
+def _drawn_secret(draw: random.Random) -> str:
+    """Letters and digits of one alphabet, 16 to 64 of them, at times behind a short prefix or with a padded end."""
+    letters = draw.choice(ALPHABETS)
+    body = "".join(draw.choices(letters, k=draw.choice((16, 18, 20, 24, 28, 32, 36, 40, 44, 52, 64))))
+    if draw.random() < 0.25:
+        body = "".join(draw.choices(LOWER, k=draw.randint(2, 4))) + draw.choice("_-") + body
+    return body + "=" * (draw.randint(0, 2) if "/" in letters else 0)
+
+
+def _drawn_plain(draw: random.Random, words: list[str]) -> str:
+    """What has digits or marks and is no secret: numbers, dates, times, versions, addresses, paths, identifiers."""
+    one, two, three = (draw.choice(words) for _ in range(3))
+    number = draw.randint(0, 10 ** draw.randint(2, 19))
+    return draw.choice((
+        f"{number}", f"{number:,}", f"{number % 10**4}.{number % 97}", f"{number % 10**6}%",
+        f"{1950 + number % 90}-{1 + number % 12:02d}-{1 + number % 28:02d}", f"{number % 24:02d}:{number % 60:02d}:07",
+        f"2024-0{1 + number % 9}-1{number % 10}T0{number % 10}:10:00Z", f"v{number % 9}.{number % 31}.{number % 7}",
+        f"{number % 256}.{number % 199}.{number % 101}.{number % 251}", f"{one}.{number % 100}@mail{number % 10}.example.com",
+        f"https://www.example.com/{one}/{two}-{three}/{number % 10**6}", f"/usr/{one}/{two}{number % 10}/{three}.txt",
+        f"{one}_{two}_{number % 100}", f"{one}{two.capitalize()}{three.capitalize()}{number % 10}", f"{one}{number % 10**4}",
+        f"{one}{two}{three}", f"{one}-{two}-{three}", f"{one.upper()}_{two.upper()}", f"+{number % 99} {number % 10**9}",
+        f"{one.capitalize()}{two.capitalize()}", f"{one}{two.capitalize()}By{three.capitalize()}{number % 10}({two})",
+        f"{one.upper()}{number % 1000}", f"{one}/{two}/{three}", f"0x{number % 65536:x}",
+    ))
+
+
+def _varied(row, words: list[str], form: int) -> tuple[list[str], list[int]]:
+    """Another form of a window; what is drawn follows from the form's number and the window's hash and tokens."""
+    draw = random.Random(f"{form} {row.at} {' '.join(row.tokens)}")
+    given, state = list(row.tokens), list(row.states)
+    tokens: list[str] = []
+    states: list[int] = []
+    if not row.match:
+        at = draw.randint(0, len(given))
+        plain = TOKEN.findall(_drawn_plain(draw, words))
+        if draw.random() < 0.6:
+            plain = TOKEN.findall(f"{draw.choice(FIELDS)}{draw.choice((' = ', ': ', '=', ' '))}{' '.join(plain)}")
+        tokens = [*given[:at], *plain, *given[at:]]
+        return tokens, [OUTSIDE] * len(tokens)
+    k = 0
+    while k < len(given):
+        if state[k] != BEGIN:
+            tokens.append(given[k])
+            states.append(OUTSIDE)
+            k += 1
+            continue
+        head = next((h for h in range(len(tokens) - 1, max(-1, len(tokens) - 5), -1) if KEYWORD.fullmatch(tokens[h])), None)
+        way = draw.random()
+        if head is not None and way < 0.25:  # the secret alone among words
+            del tokens[head:], states[head:]
+        elif head is not None and way < 0.85:
+            lead = TOKEN.findall(draw.choice(NAMES) + draw.choice((" = ", ": ", "=", " = \"", " ")))
+            tokens[head:], states[head:] = lead, [OUTSIDE] * len(lead)
+        drawn = TOKEN.findall(_drawn_secret(draw))
+        tokens += drawn
+        states += [BEGIN] + [INSIDE] * (len(drawn) - 1)
+        k += 1
+        while k < len(given) and state[k] == INSIDE:
+            k += 1
+    return tokens, states
+
+
 def _fit(rows: list, steps: int = 60) -> Crf:
     """Maximum likelihood by gradient steps with momentum scaling; sequences are padded and run side by side."""
     n, length = len(rows), max((len(r.tokens) for r in rows), default=0)
@@ -345,7 +433,11 @@ def _fit(rows: list, steps: int = 60) -> Crf:
 def train(docs: DataFrame, text: str = "text", *, sample_rows: int = SAMPLE_ROWS, windows: int = WINDOWS) -> Crf:
     """A model from at most ``sample_rows`` texts and ``windows`` windows of either sort.
 
-    The patterns are its teachers; an empty table gives a model that finds nothing.
+    The patterns are its teachers: the first ``PER_TEXT`` matches of each sampled
+    text, and a place of one in ``CLEAN_TEXTS`` texts without any. Each window is
+    taken as it is and in another form (``_varied``), those with a match in up to
+    ``FORMS`` others where there are fewer than ``windows``. An empty table gives a model
+    that finds nothing.
     """
     rows = docs.select(text_of(F.col(text)).alias("x")).withColumn("at", F.xxhash64("x").bitwiseAND(F.lit((1 << 32) - 1)))
     total = rows.count()
@@ -356,7 +448,14 @@ def train(docs: DataFrame, text: str = "text", *, sample_rows: int = SAMPLE_ROWS
         *cut.filter("match").orderBy("at", "tokens").limit(windows).collect(),
         *cut.filter("not match").orderBy("at", "tokens").limit(windows).collect(),
     ]
-    return _fit(taken)
+    words = sorted({t.lower() for r in taken for t in r.tokens if t.isascii() and t.isalpha() and 2 < len(t) < 12})
+    more = []
+    forms = min(FORMS, -(-windows // max(1, sum(r.match for r in taken))))
+    for r in taken:
+        for form in range(forms if r.match else 1):
+            tokens, states = _varied(r, words or ["word"], form)
+            more.append(Row(tokens=tokens, states=states, file=r.file))
+    return _fit([*taken, *more])
 
 
 def secrets(model: Crf, text: Column) -> Column:
