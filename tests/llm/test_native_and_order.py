@@ -161,6 +161,37 @@ def test_schedule_is_never_a_block_away():
             assert all(abs(d - (t + 1) * p / total) < 1 for d, p in zip(done, parts))
 
 
+def test_fine_weights_stay_within_a_block():
+    for weights in ([1.0, 0.35], [1.0, 0.001], [3.0, 1.0, 0.001, 0.35, 1e-5]):
+        parts, total = mixing.whole_parts(weights), sum(weights)
+        done = [0] * len(parts)
+        for t, (s, _) in zip(range(20_000), mixing.pfair_period(parts)):
+            done[s] += 1
+            assert all(abs(d - (t + 1) * w / total) < 1 for d, w in zip(done, weights))
+
+
+def test_mixing_repeats_its_schedule(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 50)
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("source"))
+    weights = spark.createDataFrame([("a", 1.0), ("b", 0.35)], "source string, weight double")
+    out = mixing.mix(rows, ["doc_id"], "source", weights, [F.col("doc_id")], block=1).orderBy("slot").collect()
+    assert len({r.doc_id for r in out}) == len({r.slot for r in out}) == 1000
+    for s in "ab":
+        assert [r.block for r in out if r.source == s] == list(range(250 if s == "b" else 750))
+    for n in range(50, 950, 50):  # a run of 50 slots is 37 to 13 blocks
+        assert sum(r.source == "b" for r in out if r.slot < n) == 13 * n // 50
+
+
+def test_mixing_many_sources_and_taken_names(spark):
+    rows = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("source"), F.lit(1.0).alias("w")
+    )
+    out = mixing.mix(rows, ["doc_id"], "source", rows.select("source", "w"), [F.col("doc_id")])
+    assert out.agg(F.count_distinct("doc_id"), F.count_distinct("slot"), F.max("slot")).first()[:] == (60_000, 60_000, 59_999)
+    with pytest.raises(ValueError, match="slot"):
+        mixing.mix(rows.withColumnRenamed("doc_id", "slot"), ["slot"], "source", rows.select("source", "w"), [F.col("slot")])
+
+
 def test_mixing_awkward_rows(spark, docs):
     weights = spark.createDataFrame([("a", 2.0), (None, float("nan")), ("unseen", 1.0)], "source string, weight double")
     out = mixing.mix(docs, ["doc_id"], "source", weights, [F.col("doc_id")], block=1, resolution=2).collect()

@@ -41,25 +41,32 @@ def op5_sql(buckets: int = 16, budget: int = 16_384) -> str:
         (rank // cap)::BIGINT AS batch, (rank % cap)::BIGINT AS slot FROM r"""
 
 
-def op3_sql(block: int = 32, resolution: int = 64) -> str:
-    """Parts, one period slot by slot (counts of blocks so far as a list), then arithmetic."""
-    return f"""WITH RECURSIVE w AS (SELECT source, sqrt(sum(length(coalesce(text, '')))::DOUBLE) AS weight
-        FROM documents GROUP BY source),
-    p AS (SELECT source, greatest(1, floor({resolution} * weight / (SELECT max(weight) FROM w) + 0.5))::BIGINT AS parts,
-        row_number() OVER (ORDER BY source NULLS FIRST) AS s FROM w),
-    a AS (SELECT list(parts ORDER BY s) AS ps, sum(parts)::BIGINT AS period FROM p),
+def op3_sql(block: int = 32, resolution: int = 1 << 40) -> str:
+    """Parts, one schedule slot by slot (counts of blocks so far as a list) as far as blocks reach, then arithmetic."""
+    return f"""WITH RECURSIVE w AS (SELECT source, sqrt(sum(length(coalesce(text, '')))::DOUBLE) AS weight,
+        (count(*) + {block - 1}) // {block} AS blocks FROM documents GROUP BY source),
+    m AS (SELECT max(weight) AS top, greatest(1048576, 16 * count(*))::BIGINT AS slots FROM w),
+    f AS (SELECT fsum(weight / top) AS total, (2 * {resolution} + any_value(slots) - 1) // any_value(slots) AS least
+        FROM w, m WHERE weight > 0),
+    p AS (SELECT source, blocks, CASE WHEN weight > 0 THEN greatest(least, floor({resolution} * (weight / top / total) + 0.5))
+        ELSE least END::BIGINT AS parts, row_number() OVER (ORDER BY source NULLS FIRST) AS s FROM w, m, f),
+    a AS (SELECT list(parts ORDER BY s) AS ps, list(least(parts, blocks) ORDER BY s) AS wanted,
+        sum(parts)::BIGINT AS period FROM p),
     t AS (SELECT -1::BIGINT AS slot, 0::BIGINT AS s, list_transform(ps, lambda x: 0::BIGINT) AS done FROM a
         UNION ALL
         SELECT slot + 1, pick, list_transform(done, lambda x, i: CASE WHEN i = pick THEN x + 1 ELSE x END)
         FROM (SELECT slot, done, ps, period, list_sort(list_transform(list_filter(range(1, len(ps) + 1),
                 lambda i: done[i] < ps[i] AND done[i] * period // ps[i] <= slot + 1),
                 lambda i: {{'deadline': ((done[i] + 1) * period + ps[i] - 1) // ps[i], 'i': i}}))[1].i AS pick
-              FROM t, a WHERE slot + 1 < period)),
-    q AS (SELECT source, parts, slot AS pos, done[t.s] - 1 AS j FROM t JOIN p ON p.s = t.s WHERE slot >= 0),
+              FROM t, a, m WHERE slot + 1 < slots
+                AND len(list_filter(range(1, len(ps) + 1), lambda i: done[i] < wanted[i])) > 0)),
+    e AS (SELECT max(slot) + 1 AS n, max_by(done, slot) AS had FROM t),
+    q AS (SELECT source, slot AS pos, done[t.s] - 1 AS j, greatest(1, had[t.s]) AS had, n FROM t, e, p
+        WHERE slot >= 0 AND p.s = t.s),
     r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rank FROM documents)
     SELECT doc_id, r.source, (rank // {block})::BIGINT AS block,
-        ((rank // {block}) // parts * (SELECT period FROM a) + pos)::BIGINT AS slot, (rank % {block})::BIGINT AS place
-    FROM r JOIN q ON r.source IS NOT DISTINCT FROM q.source AND (rank // {block}) % parts = q.j"""
+        ((rank // {block}) // had * n + pos)::BIGINT AS slot, (rank % {block})::BIGINT AS place
+    FROM r JOIN q ON r.source IS NOT DISTINCT FROM q.source AND (rank // {block}) % had = q.j"""
 
 
 # Texts in turn order; the template adds 23 characters a turn and one for each control string.
