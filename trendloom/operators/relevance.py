@@ -6,16 +6,19 @@ the cosine. A handful of reference texts is compared, never post with post.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import head, norm_text, np_round, or_empty
-from ..plans.sizing import lookup_join
+from ..plans.sizing import fits_broadcast, lookup_join
 from ..session import staged
 
 MIN_RELEVANCE = 0.015
 KEEP_SCORE = 0.18
 PRIORITY_BOOST = 0.3
+# Of a vocabulary too large to broadcast, the most frequent words are: at most this many, of at most this many bytes.
+FREQUENT_WORDS = 500_000
+FREQUENT_BYTES = 64
 
 
 def _words(text):
@@ -23,6 +26,44 @@ def _words(text):
     return F.filter(F.split(norm_text(text), " "), lambda w: w != "")
 
 
+def _term_counts(posts: DataFrame, words: str) -> DataFrame:
+    """``posts`` with ``word`` and ``tf`` instead of the array ``words``, one row per distinct word.
+
+    Sorted, equal words are runs; their starts tell how many there are, so counting needs no shuffle.
+    """
+    rest = [c for c in posts.columns if c != words]
+    runs = posts.select(*rest, F.sort_array(words).alias("_r"))
+    opens = F.zip_with("_r", F.concat(F.array(F.lit(None).cast("string")), "_r"), lambda w, before: w.eqNullSafe(before))
+    places = F.transform(opens, lambda same, i: F.when(~same, i))
+    starts = F.filter(F.slice(places, F.lit(1), F.size("_r")), lambda i: i.isNotNull())
+    found = runs.filter(F.size("_r") > 0).select(*rest, "_r", starts.alias("_s"))
+    ends = F.concat(F.slice("_s", F.lit(2), F.size("_s")), F.array(F.size("_r")))
+    counted = F.zip_with(
+        "_s", ends, lambda a, b: F.struct(F.get("_r", a).alias("word"), (b - a).cast("bigint").alias("tf"))
+    )
+    return found.select(*rest, F.explode(counted).alias("_t")).select(*rest, "_t.*")
+
+
+def _with_idf(terms: DataFrame, weights: DataFrame) -> DataFrame:
+    """``terms`` with the ``idf`` of their word.
+
+    The words of a vocabulary too large to broadcast differ much in frequency: the frequent ones, which
+    most terms are, are broadcast, so that only the terms of rare words are shuffled. No rare word is hot.
+    """
+    idf = weights.select("word", "idf")
+    if fits_broadcast(idf):
+        return terms.join(F.broadcast(idf), "word")
+    # one row per frequency, one number to the driver
+    down = Window.orderBy(F.desc("df"))
+    sizes = weights.groupBy("df").agg(F.count(F.lit(1)).alias("n")).withColumn("n", F.sum("n").over(down))
+    cut = sizes.filter(F.col("n") <= FREQUENT_WORDS).agg(F.min("df")).first()[0]
+    is_frequent = F.lit(False) if cut is None else (F.col("df") >= cut) & (F.octet_length("word") <= FREQUENT_BYTES)
+    frequent = F.broadcast(weights.filter(is_frequent).select("word", "idf"))
+    rare = weights.filter(~is_frequent).select("word", "idf")
+    others = terms.join(F.broadcast(weights.filter(is_frequent).select("word")), "word", "left_anti")
+    return terms.join(frequent, "word").unionByName(others.join(rare, "word"))
+
+
 def context_scores(
     df: DataFrame, contexts: DataFrame, max_chars: int | None = None, id_col: str = "mention_id"
 ) -> DataFrame:
@@ -30,14 +71,14 @@ def context_scores(
 
     ``contexts(label, text)`` is a short list of reference texts. Inverse document
     frequencies come from the posts: ln((n + 1) / (df + 1)) + 1. Whole texts count
-    unless ``max_chars`` is given. The words of a post are counted within its task:
+    unless ``max_chars`` is given. The words of a post are counted within its row:
     one shuffle by word for the document frequencies, one by post for the sums.
     """
     text = F.concat(or_empty("title"), F.lit(" "), head(or_empty("text"), max_chars))
     posts = df.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"), _words(text).alias("_w"))
     n = df.count()
     seen = posts.select(F.explode(F.array_distinct("_w")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    weights = staged(seen.select("word", (F.log(F.lit(float(n + 1)) / (F.col("df") + 1)) + 1.0).alias("idf")))
+    weights = staged(seen.select("word", "df", (F.log(F.lit(float(n + 1)) / (F.col("df") + 1)) + 1.0).alias("idf")))
     unseen = F.lit(F.log(F.lit(float(n + 1))) + 1.0)
     refs = (
         contexts.select("label", F.explode(_words(F.col("text"))).alias("word"))
@@ -50,10 +91,8 @@ def context_scores(
     by_word = refs.join(norms, "label").groupBy("word").agg(
         F.collect_list(F.struct("label", "ref", "ref_norm")).alias("refs")
     )
-    terms = posts.select("_id", "_row", F.explode("_w").alias("word")).groupBy("_id", "_row", "word").agg(F.count(F.lit(1)).alias("tf"))
-    weighted = lookup_join(terms, weights, "word", "inner", spread_by="_row").select(
-        "_id", "_row", "word", (F.col("tf") * F.col("idf")).alias("w")
-    )
+    terms = _term_counts(posts, "_w")
+    weighted = _with_idf(terms, weights).select("_id", "_row", "word", (F.col("tf") * F.col("idf")).alias("w"))
     # One pass: the norm needs all words, the products only the shared ones.
     matched = lookup_join(weighted, by_word, "word", "left", spread_by="_row")
     none = F.array(F.struct(*[F.lit(None).cast(t).alias(c) for c, t in
