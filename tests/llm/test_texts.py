@@ -286,3 +286,14 @@ def test_lattices_left_out_hold_no_evidence():
         assert model.evidence(text)[0] >= 3.0, text
     for text in ("such a b o o k today", "x y z", "letters 10,000", "", "a " * 500):
         assert model.evidence(text) == (0.0, 0.0, 0.0), text
+
+
+def test_all_labels_are_learned_from(spark):
+    """More labels than were once sampled: the share of toxic ones is that of all, to the last row."""
+    docs = spark.range(280_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    known = docs.select("doc_id", ((fold != 4) & (F.col("doc_id") % 3 == 0)).cast("int").alias("toxic"))
+    model = toxicity.train(docs, known)
+    folds = [(zlib.crc32(str(i).encode()) % 5, i) for i in range(280_000)]
+    share = sum(f not in (0, 4) and i % 3 == 0 for f, i in folds) / sum(f != 0 for f, _ in folds)
+    assert model.weights[0] == pytest.approx(math.log(share / (1 - share)), abs=1e-9)

@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendloom.plans.sizing import fits_broadcast
 from trendloom.plans.staging import Stage
 
 from ._blocks import release
 from ._common import most_frequent, table, text_of
 
-TRAIN_ROWS = 200_000  # labelled rows learned from, at most; the choice goes by a hash of doc_id
 FEATURES = 50_000  # words and beginnings kept, at most
 TRIGRAMS = 50_000  # character trigrams kept, at most
 LEAST_TOXIC = 8  # toxic documents that a feature needs
@@ -263,8 +263,13 @@ def single_runs(tokens: list[str]) -> Iterator[list[str]]:
     """Runs of three and more tokens of one character each, punctuation around it left out."""
     run: list[str] = []
     for t in tokens:
-        bare = len(t) > 1 and t[0].isalnum() and t[-1].isalnum()  # nothing to strip
-        for inner in () if bare else (t, t.strip(PLAIN), t.strip(PUNCTUATION)):
+        if len(t) > 1 and t[0].isalnum() and t[-1].isalnum():  # nothing to strip
+            if run:
+                if len(run) >= 3:
+                    yield run
+                run = []
+            continue
+        for inner in (t, t.strip(PLAIN), t.strip(PUNCTUATION)):
             if len(inner) == 1:
                 run.append(inner)
                 break
@@ -338,12 +343,11 @@ def train(
     label: str = "toxic",
     *,
     held_out: int = 0,
-    train_rows: int = TRAIN_ROWS,
 ) -> Model:
-    """A model from labelled rows outside the fold crc32(doc_id as text) mod 5 = ``held_out``.
+    """A model from all labelled rows outside the fold crc32(doc_id as text) mod 5 = ``held_out``.
 
-    At most ``train_rows`` labels are used, so what is broadcast is bounded; a
-    document with several labels counts as toxic if one says so, null labels and
+    Labels are broadcast where they were measured to be few; a document with
+    several labels counts as toxic if one says so, null labels and
     null ids are left out. Of the four training folds, the one before the held-out
     fold fits the logistic function, the others are counted. Without labels of
     both kinds every score is the share of toxic labels.
@@ -354,11 +358,9 @@ def train(
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("toxic")).dropna()
     known = known.groupBy("id").agg(F.max(F.col("toxic") != 0).cast("int").alias("toxic")).withColumn("fold", fold)
     known = known.filter(F.col("fold") != held_out)
-    total = known.count()
-    keep = int(min(1.0, 0.9 * train_rows / max(1, total)) * (1 << 32))
-    known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 32)) < keep) if total > train_rows else known
+    known = F.broadcast(known) if fits_broadcast(known) else known
     texts = docs.select(F.col(doc_id).alias("id"), text_of(F.col(text)).alias("x")).filter(F.col("id").isNotNull())
-    used = stage.write(texts.join(F.broadcast(known), "id").select("x", "toxic", "fold"))
+    used = stage.write(texts.join(known, "id").select("x", "toxic", "fold"))
     fitting = (held_out + 4) % 5
     counted = used.filter(F.col("fold") != fitting)
     sizes = {r[0]: r[1] for r in counted.groupBy("toxic").count().collect()}
