@@ -2,7 +2,10 @@
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
+from trendloom.functions import norm_text
+from trendloom.functions.scalars import PUNCTUATION_CLASS, WHITESPACE_CLASS
 from trendloom.operators import knn
 
 
@@ -19,3 +22,13 @@ def test_visits_are_sent_in_bounded_slices(spark, monkeypatch):
     assert len(whole) == 1500
     frame = pd.DataFrame({"id": range(7)})
     assert [len(p) for p in knn._sliced(iter([frame, frame.iloc[:0]]), 3)] == [3, 3, 1]
+
+
+def test_norm_text_is_one_pass_with_the_old_result(spark):
+    texts = ["", " ", "A-b", "a - b", "  x\t\ty ", "a b", "a. .b", "...", "L'Oréal & co", "a  b", "\n", "x;y", "a　", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    spaced = F.regexp_replace(F.lower("t"), PUNCTUATION_CLASS + "+", " ")
+    two = F.trim(F.regexp_replace(spaced, WHITESPACE_CLASS + "+", " "))
+    assert all(r[0] == r[1] for r in df.select(norm_text("t"), two).collect())
+    one = spark.range(1).select(norm_text(F.concat(F.lit("a"), F.col("id"))).alias("n"))
+    assert _plan(one).count("regexp_replace") == 1
