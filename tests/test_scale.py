@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trendloom.functions import norm_text
 from trendloom.functions.scalars import PUNCTUATION_CLASS, WHITESPACE_CLASS
-from trendloom.operators import knn
+from trendloom.operators import knn, sentiment
 
 
 def _plan(df):
@@ -32,3 +32,23 @@ def test_norm_text_is_one_pass_with_the_old_result(spark):
     assert all(r[0] == r[1] for r in df.select(norm_text("t"), two).collect())
     one = spark.range(1).select(norm_text(F.concat(F.lit("a"), F.col("id"))).alias("n"))
     assert _plan(one).count("regexp_replace") == 1
+
+
+def test_only_hits_and_first_words_reach_the_sums(spark):
+    posts = spark.createDataFrame(
+        [("a", "good day", "and bad luck"), ("a", "good", ""), ("b", "", ""), ("c", "no entry here", None)],
+        "mention_id string, title string, text string",
+    )
+    # a repeated token counts once per entry, a valence of zero is neutral
+    lexicon = spark.createDataFrame([("good", 1.0), ("good", 1.0), ("bad", -1.0), ("luck", 0.0)], "token string, valence double")
+    for rules in (False, True):
+        scores = sentiment.sentiment_scores(posts, lexicon, rules=rules)
+        plan = _plan(scores).splitlines()
+        depth = {what: next(i for i, line in enumerate(plan) if what in line) for what in ("Aggregate", "Join")}
+        between = plan[depth["Aggregate"] : depth["Join"]]
+        assert any("Filter" in line and "_nth" in line for line in between)
+        got = {r["mention_id"]: tuple(r)[1:5] for r in scores.collect()}
+        # words a: 4 entries of good (2 each), one of bad (2), day, and, luck neutral
+        assert got["a"][1:] == (8 / 13 // 0.001 / 1000, 2 / 13 // 0.001 / 1000 + 0.001, 3 / 13 // 0.001 / 1000 + 0.001)
+        assert got["b"] == (0.0, 0.0, 0.0, 0.0)
+        assert got["c"] == (0.0, 0.0, 0.0, 1.0)
