@@ -4,9 +4,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from trendloom.functions import norm_text
+from checks import views as V
+from trendloom.functions import display_name, norm_text
 from trendloom.functions.scalars import PUNCTUATION_CLASS, WHITESPACE_CLASS
-from trendloom.operators import knn, sentiment
+from trendloom.operators import brands, knn, sentiment
 
 
 def _plan(df):
@@ -52,3 +53,29 @@ def test_only_hits_and_first_words_reach_the_sums(spark):
         assert got["a"][1:] == (8 / 13 // 0.001 / 1000, 2 / 13 // 0.001 / 1000 + 0.001, 3 / 13 // 0.001 / 1000 + 0.001)
         assert got["b"] == (0.0, 0.0, 0.0, 0.0)
         assert got["c"] == (0.0, 0.0, 0.0, 1.0)
+
+
+def test_names_are_spelled_after_the_first_entry_is_chosen(spark):
+    entries = spark.createDataFrame(
+        [("a", 1, "acme co"), ("a", 0, "ACME Co"), ("b", 0, "acme-co"), ("a", 2, "';'"), ("c", 0, "abc"), ("d", 0, "with"), ("d", 0, "with")],
+        "list string, ordinal long, raw string",
+    )
+    words = [spark.createDataFrame([(w,)], "word string") for w in ("with", "abc", "noise")]
+    out = brands.build_whitelist(entries, *words)
+    assert {tuple(r) for r in out.collect()} == {("acme co", "Acme Co"), ("abc", "Abc")}
+    plan = _plan(out)
+    assert plan.count("initcap") > 0 and "initcap" not in plan[plan.index("Window") :]
+    single = spark.createDataFrame([("SAMSUNg",), ("l'oréal",), ("3m",), ("'",), (None,)], "b string")
+    assert [r[0] for r in single.select(display_name("b")).collect()] == ["Samsung", "Loréal", "3M", "", None]
+
+
+def test_sources_of_a_name_meet_in_one_shuffle(spark):
+    def counts(n):
+        docs = spark.createDataFrame([(f"s{i}",) for i in range(n)] + [(None,)], "source string")
+        found = docs.select("source", F.lit("x").alias("raw")).unionByName(docs.select("source", F.lit("x").alias("raw")))
+        found = found.unionByName(spark.createDataFrame([(None, "y"), ("s0", "z")], "source string, raw string"))
+        return V._sources_of(docs)(found)
+
+    for n in (1, 64, 65):
+        assert {tuple(r) for r in counts(n).collect()} == {("x", n), ("y", 0), ("z", 1)}
+    assert _plan(counts(64)).count("Aggregate") == 1
