@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import views as V
 from trendloom.functions import display_name, norm_text
-from trendloom.functions.scalars import PUNCTUATION_CLASS, WHITESPACE_CLASS
+from trendloom.functions.scalars import PUNCTUATION_CLASS, WHITESPACE, WHITESPACE_CLASS
 from trendloom.operators import brands, knn, sentiment
 
 
@@ -27,6 +27,7 @@ def test_visits_are_sent_in_bounded_slices(spark, monkeypatch):
 
 def test_norm_text_is_one_pass_with_the_old_result(spark):
     texts = ["", " ", "A-b", "a - b", "  x\t\ty ", "a b", "a. .b", "...", "L'Oréal & co", "a  b", "\n", "x;y", "a　", None]
+    texts += [t for c in WHITESPACE + "\x1b\x21\x84\u167f\u200b\u3001" for t in (f"a{c}b", f"{c}a.{c}{c}", f"a {c}-b{c} ")]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     spaced = F.regexp_replace(F.lower("t"), PUNCTUATION_CLASS + "+", " ")
     two = F.trim(F.regexp_replace(spaced, WHITESPACE_CLASS + "+", " "))
