@@ -106,6 +106,35 @@ def test_disguises_beyond_the_plain_ones():
         assert model.score(f"the street {s} later") < 0.5, s
 
 
+def test_stars_behind_words_without_evidence_are_not_searched():
+    words = ["stupid", "moron", "idiot", toxicity.EDGE + "stup", "clown", "heating", "osteopath"]
+    chars = toxicity.CharModel(Counter(t for w in words for t in zip_trigrams(w.strip(toxicity.EDGE))))
+    searched = []
+
+    def counted(seen, restore=chars.restore):
+        searched.append(seen)
+        return restore(seen)
+
+    chars.restore = counted
+    model = toxicity.Model(dict.fromkeys(words, 6.0), chars, np.zeros(5))
+    assert not any(map(model.token, ["heti***", "osi.***", "ble.*", "grander***", "letter"])) and not searched
+    whole = toxicity.Model(dict.fromkeys(words, 6.0), chars, np.zeros(5))
+    whole.may_hold = lambda seen, anywhere=False: True
+    random.seed(9)
+    parts = [*"stupidmorcklw", "0", "1", "!", "*", "**", "***", ".", ",", "stup", "moron", "idio", "a t", "^", "tt"]
+    for _ in range(3000):
+        token = "".join(random.choices(parts, k=random.randint(1, 7)))
+        assert model.evidence(token) == whole.evidence(token), token
+    for token in ("stup***", "m0r0n***", "idio*", "clow*.", "s t u p i d", "m*r*n", "stuppid***"):
+        assert model.evidence(token) == whole.evidence(token)
+    assert model.token("stupid***") == model.token("st*pid") == 6.0
+
+
+def zip_trigrams(word):
+    padded = toxicity.EDGE * 2 + word + toxicity.EDGE
+    return [padded[k : k + 3] for k in range(len(padded) - 2)]
+
+
 def test_toxicity_awkward_rows(spark, awkward):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(awkward, none)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,6 +38,7 @@ FEATURES = 50_000  # words and beginnings kept, at most
 TRIGRAMS = 50_000  # character trigrams kept, at most
 LEAST_TOXIC = 8  # toxic documents that a feature needs
 PREFIXES = (4, 5, 6, 7)
+SHORTEST = min(PREFIXES)
 CACHE = 60_000  # words whose evidence a task remembers
 
 # Letters that a character may imitate.
@@ -55,6 +57,7 @@ _MIXED = re.compile(r"[^\W\d_][0-9@$!|+*€#]+[^\W\d_]|^[0-9@$][^\W\d_]|[^\W\d_]
 _REPEAT = re.compile(r"([^\W\d_])\1\1", re.UNICODE)
 _OPENS = re.compile(r"([^\W\d_])\1|\w[ .\-_*~/\\,]+\w", re.UNICODE)
 _LEET = re.compile("[" + re.escape("".join(LEET)) + "]")
+_TWICE = re.compile(r"([^\W\d_])\1", re.UNICODE)
 _LETTER = re.compile(r"[^\W\d_]", re.UNICODE)
 _SAME = re.compile(r"(.)\1+", re.DOTALL)
 _SPLIT = re.compile(r"^\w(?:[.\-_*~/]\w){2,}$", re.UNICODE)
@@ -141,28 +144,33 @@ class CharModel:
 
     def restore(self, seen: str) -> list[str]:
         """Viterbi: the likeliest words behind ``seen``, a disguised word or characters joined by spaces."""
-        best: dict[str, tuple[float, tuple | None]] = {EDGE * 2: (0.0, None)}
+        start, known = EDGE * 2, self._cache.get
+        best: dict[str, tuple[float, tuple | None]] = {start: (0.0, None)}
         for k, o in enumerate(seen):
             new: dict[str, tuple[float, tuple | None]] = {}
-
-            def take(state, value, path):
-                if state not in new or value > new[state][0]:
-                    new[state] = (value, path)
-
             inner = 0 < k < len(seen) - 1
+            gap = inner and o in SEPARATORS
+            again = k and o == seen[k - 1]
             letters = [(c, IMITATES) for c in LEET.get(o, "")]
             if o not in SEPARATORS or not inner:
                 letters.append((o, 0.0 if o.isalpha() else ODD))
             for state, (value, path) in best.items():
-                if inner and o in SEPARATORS:
-                    take(state, value + SPACED, path)
-                    if state != EDGE * 2:
-                        end = self.logp(state, EDGE)
-                        take(EDGE * 2, value + BOUNDARY + end, (EDGE, path))
-                if k and o == seen[k - 1] and state != EDGE * 2:
-                    take(state, value + REPEATED, path)
+                if gap:
+                    if state not in new or value + SPACED > new[state][0]:
+                        new[state] = (value + SPACED, path)
+                    if state != start:
+                        v = value + BOUNDARY + self.logp(state, EDGE)
+                        if start not in new or v > new[start][0]:
+                            new[start] = (v, (EDGE, path))
+                if again and state != start and (state not in new or value + REPEATED > new[state][0]):
+                    new[state] = (value + REPEATED, path)
                 for c, cost in letters:
-                    take(state[1] + c, value + cost + self.logp(state, c), (c, path))
+                    p = known(state + c)
+                    v = value + cost + (self.logp(state, c) if p is None else p)
+                    into = state[1] + c
+                    old = new.get(into)
+                    if old is None or v > old[0]:
+                        new[into] = (v, (c, path))
             best = dict(sorted(new.items(), key=lambda x: -x[1][0])[:64]) if len(new) > 64 else new
         _, path = max(((v + self.logp(s, EDGE), p) for s, (v, p) in best.items()), key=lambda x: x[0])
         chars = []
@@ -178,18 +186,29 @@ class Model:
     chars: CharModel
     weights: np.ndarray  # of 1, strongest, second, log(1 + strong words), strongest beyond 4
     _cache: dict[str, float] = field(default_factory=dict, repr=False)
+    _singles: set[str] = field(default_factory=set, repr=False)  # cached tokens that are one character each
+    _opens: dict[str, bool] = field(default_factory=dict, repr=False)  # whether a word that begins so may have evidence
 
     def __post_init__(self):
         self._shapes = {skeleton(w.lstrip(EDGE)) for w in self.words}
         self._sizes = sorted({len(x) for x in self._shapes})
         self._least = min(self._sizes, default=0)
+        self._ordered = sorted(self._shapes)
+        stars = set(skeleton("".join(LEET["*"])))
+        self._of_stars = any(set(x) <= stars for x in self._shapes)
         self._openings = {x[: self._least] for x in self._shapes}
-        self._beginnings = {w[1 : 1 + min(PREFIXES)] for w in self.words if w[0] == EDGE}
+        self._beginnings = {w[1 : 1 + SHORTEST] for w in self.words if w[0] == EDGE}
 
     def may_hold(self, seen: str, anywhere: bool = False) -> bool:
         """Whether some reading of ``seen`` (or of a part of it) may hold a word with evidence; False is certain."""
-        if "*" in seen or EDGE in seen:
+        if EDGE in seen:
             return True
+        if "*" in seen:
+            # Behind the last letter a word goes on by any vowels; one that starts there holds nothing but vowels.
+            head = seen.rstrip(SEPARATORS)
+            if anywhere or self._of_stars or any(c in SEPARATORS for c in head):
+                return True
+            return self.may_begin(head)
         shape = skeleton(seen)
         starts = range(len(shape)) if anywhere or any(c in SEPARATORS for c in seen) else range(1)
         for i in starts:
@@ -197,6 +216,13 @@ class Model:
                 return True
         return False
 
+    def may_begin(self, head: str) -> bool:
+        """Whether some word that reads ``head`` and goes on in any way may have evidence; False is certain."""
+        shape = skeleton(head)
+        at = bisect_left(self._ordered, shape)
+        longer = at < len(self._ordered) and self._ordered[at].startswith(shape)
+        return longer or any(shape[:n] in self._shapes for n in self._sizes)
+
     def decoded(self, seen: str) -> list[float]:
         """Evidence of the words that the likeliest reading of ``seen`` holds."""
         return [self.weigh(w) for w in self.chars.restore(seen)] if self.may_hold(seen) else []
@@ -220,32 +246,59 @@ class Model:
         got = self.words.get(word)
         if got is not None:
             return got
-        if word[: min(PREFIXES)] not in self._beginnings:
+        if word[:SHORTEST] not in self._beginnings:
             return 0.0
         return max((self.words.get(EDGE + word[:n], 0.0) for n in PREFIXES if len(word) > n), default=0.0)
 
     def token(self, token: str) -> float:
         got = self._cache.get(token)
         if got is None:
-            word = core(token)
+            word = token.rstrip(PLAIN)
+            plain = word.isalpha()
+            if plain and len(word) > SHORTEST:
+                begins = self._opens.get(word[:SHORTEST])
+                if begins is None:
+                    begins = self._opens[word[:SHORTEST]] = self.may_begin(word[:SHORTEST])
+                if not begins:
+                    return 0.0
+            elif not plain:
+                word = core(token)
             got = self.weigh(word)
-            # What is read below lies within the token.
-            opens = (_LEET.search(token) or _OPENS.search(token)) and self.may_hold(token, anywhere=True)
-            if opens and disguised(word):
+            # What is read below lies within the token; letters are read as they stand.
+            if plain:
+                opens = _TWICE.search(word) and self.may_hold(word)
+            else:
+                opens = (_LEET.search(token) or _OPENS.search(token)) and self.may_hold(token, anywhere=True)
+            read = opens and disguised(word)
+            if read:
                 got = max([got, *self.decoded(word)])
             if opens and got <= 0:
-                got = max([got, *(x for form in readings(token, word) for x in self.decoded(form))])
-            if len(self._cache) > CACHE:
-                self._cache.clear()
+                forms = (form for form in readings(token, word) if not (read and form == word))
+                got = max([got, *(x for form in forms for x in self.decoded(form))])
             self._cache[token] = got
+            if len(word) < 3 and single(token):
+                self._singles.add(token)
         return got
 
     def evidence(self, text: str) -> tuple[float, float, float]:
         """Log odds of the strongest and the second strongest word, and log(1 + strong words)."""
         tokens = text.lower().split()
-        found = sorted((x for x in map(self.token, set(tokens)) if x > 0), reverse=True)
-        for run in single_runs(tokens):
-            found += [x for x in self.spaced(run) if x > 0]
+        if len(self._cache) > CACHE:
+            self._cache.clear()
+            self._singles.clear()
+        if len(self._opens) > CACHE:
+            self._opens.clear()
+        found, known = [], self._cache.get
+        for t in set(tokens):
+            x = known(t)
+            if x is None:
+                x = self.token(t)
+            if x > 0:
+                found.append(x)
+        at = [i for i, t in enumerate(tokens) if t in self._singles]
+        if any(b - a == 2 for a, b in zip(at, at[2:])):
+            for run in single_runs(tokens):
+                found += [x for x in self.spaced(run) if x > 0]
         found.sort(reverse=True)
         strong = sum(x >= 3.0 for x in found)
         return (found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0, math.log1p(strong))
@@ -259,29 +312,24 @@ def inputs(strongest: float, second: float, strong: float) -> np.ndarray:
     return np.array([1.0, strongest, second, strong, max(0.0, strongest - 4.0)])
 
 
+def single(token: str) -> str:
+    """The one character that a token is without the punctuation around it; empty where it is more or less."""
+    if len(token) > 1 and token[0].isalnum() and token[-1].isalnum():  # nothing to strip
+        return ""
+    return next((x for x in (token, token.strip(PLAIN), token.strip(PUNCTUATION)) if len(x) == 1), "")
+
+
 def single_runs(tokens: list[str]) -> Iterator[list[str]]:
     """Runs of three and more tokens of one character each, punctuation around it left out."""
     run: list[str] = []
-    for t in tokens:
-        if len(t) > 1 and t[0].isalnum() and t[-1].isalnum():  # nothing to strip
-            if run:
-                if len(run) >= 3:
-                    yield run
-                run = []
-            continue
-        for inner in (t, t.strip(PLAIN), t.strip(PUNCTUATION)):
-            if len(inner) == 1:
-                run.append(inner)
-                break
-        else:
-            inner = ""
+    for t in [*tokens, ""]:
+        inner = single(t)
         if inner:
+            run.append(inner)
             continue
         if len(run) >= 3:
             yield run
         run = []
-    if len(run) >= 3:
-        yield run
 
 
 def _count_features(labelled: DataFrame) -> DataFrame:
