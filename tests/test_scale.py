@@ -1,5 +1,8 @@
 """Work that must not grow faster than the input: bounded portions, few passes, few rows on the way."""
 
+import datetime
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -80,3 +83,28 @@ def test_sources_of_a_name_meet_in_one_shuffle(spark):
     for n in (1, 64, 65):
         assert {tuple(r) for r in counts(n).collect()} == {("x", n), ("y", 0), ("z", 1)}
     assert _plan(counts(64)).count("Aggregate") == 1
+
+
+def test_listing_pages_hold_each_event_with_its_documents_and_shuffle_no_text_by_page(spark, tmp_path):
+    docs = [(i, f"text {i} " * 20, "en", "s", 1) for i in range(30)] + [(7, "again", "en", "s", 1), (8, None, "en", "s", 1), (None, "x", "en", "s", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    at = datetime.datetime(2024, 1, 6)
+    kinds = ["click", "view", "error", None]
+    rows = [(i, at, i % 9, kinds[i % 4], float(i), "") for i in (*range(-150, 700, 3), 7, 7, 5_000_000_007)] + [(None, at, 1, "view", 1.0, "")]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    pages = V.listing_pages(spark, str(tmp_path))
+    assert "Exchange hashpartitioning(page" not in pages._jdf.queryExecution().executedPlan().toString()
+    texts = {}
+    for i, text, *_ in docs:
+        texts.setdefault(i, []).append(text)
+    expected = Counter()
+    for i, _, user, kind, value, _ in rows:
+        for text in texts.get(i % len(docs), []) if i is not None else []:
+            body = {"click": "[removed]", "view": " [deleted]"}.get(kind, None if text is None else text[80:])
+            expected[(i // 100, None if text is None else text[:80], body, f"/l/{i}", f"u{user}", int(value // 1))] += 1
+    got = Counter()
+    for r in pages.collect():
+        of = {int(c.data.permalink[3:]) // 100 for c in r["data"].children}
+        assert len(of) == 1 and r.sort == ("new" if min(of) % 2 == 0 else "top")
+        got.update((min(of), c.data.title, c.data.selftext, c.data.permalink, c.data.author, c.data.score) for c in r["data"].children)
+    assert got == expected and sum(got.values()) > 250
