@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from trendloom.plans.sizing import fits_broadcast
 from trendloom.plans.staging import Stage
 
-from ._blocks import release
+from ._blocks import release, releasing
 from ._common import most_frequent, table, text_of
 
 FEATURES = 50_000  # words and beginnings kept, at most
@@ -363,7 +363,7 @@ def _count_features(labelled: DataFrame) -> DataFrame:
                 )
 
     return (
-        labelled.mapInArrow(partial, "kind string, feature string, toxic long, clean long")
+        labelled.mapInArrow(releasing(partial), "kind string, feature string, toxic long, clean long")
         .groupBy("kind", "feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
 
@@ -431,7 +431,7 @@ def train(
 
     grid = (
         used.filter(F.col("fold") == fitting).select("x", "toxic")
-        .mapInArrow(evidence, "a double, b double, c double, y int")
+        .mapInArrow(releasing(evidence), "a double, b double, c double, y int")
         .groupBy("a", "b", "c", "y").count().collect()  # tenths: bounded by the range of the log odds
     )
     share = min(max(shares if shares is not None else 0.0, 1e-6), 1 - 1e-6)
