@@ -203,3 +203,38 @@ def test_impact_index_takes_null_ids_repeats_and_large_components(spark):
         impact.top_inner_products(table, F.col("id") == 60, k=20).collect()
     far = impact.top_inner_products(table.filter("vec_id in (8, 9, 60)"), F.col("id") == 9, k=2).collect()
     assert [(r.vec_id, r.score) for r in sorted(far, key=lambda r: r["rank"])] == [(8, 0), (60, 0)]
+
+
+def test_pairs_just_below_the_threshold_fall_by_their_rarest_shingles(spark, monkeypatch):
+    base = [f"w{i}" for i in range(400)]
+    near = [" ".join([*base[: 60 + 9 * k], f"x{k}", *base[61 + 9 * k :]]) for k in range(20)]  # linked with each other
+    below = [" ".join([*(f"own{k}_{i}" for i in range(48)), *base[48:]]) for k in range(20)]  # 0.78 to all of them
+    docs = spark.createDataFrame(list(enumerate(near + below)), "doc_id long, text string").repartition(2)
+    sent = []
+
+    def confirmed(self, pairs, texts, confirm=minhash._Job.confirmed):
+        sent.append(pairs.count())
+        return confirm(self, pairs, texts)
+
+    monkeypatch.setattr(minhash._Job, "confirmed", confirmed)
+    rows = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, width=2).collect()}
+    assert rows == {i: 0 if i < 20 else i for i in range(40)}
+    assert sent[1] < 60  # of 590 pairs at 0.78
+
+
+def test_similar_sets_share_one_of_their_rarest_shingles():
+    draw = np.random.default_rng(3)
+    common = np.unique(draw.integers(0, 1 << 62, 50, dtype=np.uint64))
+    often = draw.integers(1, 9, len(common))
+    tight = 0
+    for _ in range(2000):
+        shared = draw.integers(0, 1 << 62, draw.integers(1, 60), dtype=np.uint64)
+        own = [draw.integers(0, 1 << 62, draw.integers(0, 9), dtype=np.uint64) for _ in "ab"]
+        a, b = (np.unique(np.concatenate([shared, x, draw.choice(common, draw.integers(0, 12))])) for x in own)
+        c = len(np.intersect1d(a, b))
+        asked = -(-80 * (len(a) + len(b)) // 180)
+        x, y = (set(minhash.rarest(v, common, often, (80, 100))[: len(v) - asked + 1].tolist()) for v in (a, b))
+        if 100 * c >= 80 * (len(a) + len(b) - c):
+            assert x & y
+            tight += c == asked
+    assert tight > 20

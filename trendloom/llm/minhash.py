@@ -6,7 +6,10 @@ of how often each bit is hit. The population count of two sketches' XOR estimate
 how many MinHash values differ, precisely at high similarities, so that nearly all
 candidates of the bands that are not similar fall without looking at their texts.
 What remains is confirmed on full shingle sets. Members of buckets that stay open get
-a finer sketch (2,048 values, 8,192 bits), for texts that share long passages.
+a finer sketch (2,048 values, 8,192 bits), for texts that share long passages, and their
+rarest shingles: two sets that are similar share one among the rarest few of each, in any
+one order of all shingles, so that pairs just below the threshold mostly fall without
+looking at their texts, and no similar pair does.
 
 A bucket of a band is never expanded into all its pairs. Its members are first
 compared with one of them, a different one in each band; what that connects is
@@ -32,7 +35,7 @@ from trendloom.plans.sizing import fits_broadcast
 from trendloom.plans.staging import Stage
 
 from ._blocks import releasing
-from ._common import table, text_of
+from ._common import most_frequent, table, text_of
 from ._components import components
 
 BANDS, ROWS = 36, 6
@@ -45,6 +48,9 @@ SKETCH_LEAST = 0.65
 # Sketches that tell apart what shares long passages: made only for members of open
 # buckets; 0.745 is more than four standard deviations below 0.8.
 FINE_HASHES, FINE_BITS, FINE_LEAST = 2048, 8192, 0.745
+# Rarest shingles that a member of an open bucket carries, and shingles that are told apart by how often they occur, at
+# most. A pair that would need more of the rarest is confirmed on its full sets.
+RAREST, COMMON = 256, 32_768
 MEMBERS = 256  # members of a star that one part of its comparison holds on average
 CACHE = 100_000  # words whose hash a task remembers
 
@@ -195,20 +201,49 @@ def _keyed_texts(width: int):
     return keyed
 
 
-def _fine_sketches(width: int):
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated_shingles(width: int):
+    """(shingle, n) of the shingles that texts of a portion share; what occurs once in a portion is rare enough to leave out."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                fine = [
-                    odd_sketch(min_hashes(shingles(x.as_py(), width, hashes), FINE), FINE, FINE_BITS)
-                    for x in batch.column(1).cast(pa.large_binary())
-                ]
+                sets = [shingles(x.as_py(), width, hashes) for x in batch.column(1).cast(pa.large_binary())]
+                values, n = np.unique(np.concatenate(sets), return_counts=True)
+                again = n > 1
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(fine, type=pa.list_(pa.int64()))], names=["cls", "fine"]
+                    [pa.array(values[again].view(np.int64)), pa.array(n[again].astype(np.int64))], names=["shingle", "n"]
                 )
 
+    return counted
+
+
+def rarest(items: np.ndarray, common: np.ndarray, often: np.ndarray, least: tuple[int, int]) -> np.ndarray:
+    """The first shingles of a set in the order of all (rare ones first): as many as any partner of similarity ``least`` asks for."""
+    n = len(items)
+    count = np.zeros(n, dtype=np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, items), len(common) - 1)
+        count = np.where(common[at] == items, often[at], 0)
+    asked = n - -(-least[0] * n // least[1]) + 1
+    return items[np.lexsort((items, count))][: min(asked, RAREST)]
+
+
+def _fine_sketches(width: int, common: np.ndarray, often: np.ndarray, least: tuple[int, int]):
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                fine, rare = [], []
+                for x in batch.column(1).cast(pa.large_binary()):
+                    items = shingles(x.as_py(), width, hashes)
+                    fine.append(odd_sketch(min_hashes(items, FINE), FINE, FINE_BITS))
+                    rare.append(rarest(items, common, often, least).view(np.int64))
+                arrays = [pa.array(v, type=pa.list_(pa.int64())) for v in (fine, rare)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["cls", "fine", "rare"])
+
     return sketched
 
 
@@ -264,10 +299,29 @@ class _Job:
         matched = keyed.join(wanted.select("key", "cls"), "key").groupBy("cls").agg(F.any_value("x").alias("x"))
         return self.stage.write(matched)
 
+    def fine(self, texts: DataFrame) -> DataFrame:
+        """(cls, fine, rare): finer sketches and rarest shingles of texts (cls, x)."""
+        counts = texts.mapInArrow(releasing(_repeated_shingles(self.width)), "shingle long, n long")
+        counts = self.stage.write(counts.groupBy("shingle").agg(F.sum("n").alias("n")))
+        rows = most_frequent(counts, "n", COMMON).toArrow()
+        common, often = rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy()
+        order = np.argsort(common)
+        sketched = _fine_sketches(self.width, common[order], often[order], self.least)
+        return self.stage.write(texts.mapInArrow(releasing(sketched), "cls long, fine array<long>, rare array<long>"))
+
+    def may_share(self, a: str, b: str) -> Column:
+        """Whether two sets may share as many shingles as the similarity asks for, by the rarest of each; False is certain."""
+        part, whole = self.least[0], sum(self.least)
+        asked = F.expr(f"({part} * ({a}n + {b}n) + {whole - 1}) div {whole}")
+        first = {x: F.greatest(F.col(f"{x}n") - asked + 1, F.lit(0)).cast("int") for x in (a, b)}
+        beyond = functools.reduce(operator.or_, (first[x] > F.size(f"{x}rare") for x in (a, b)))
+        return beyond | F.arrays_overlap(*[F.slice(f"{x}rare", F.lit(1), first[x]) for x in (a, b)])
+
     def confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar. A star's text goes once to each part of its members."""
         degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("parts"))
-        placed = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
+        placed = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+        placed = self.stage.write(placed)
         members = placed.select(F.col("a").alias("star"), "part", F.lit(1).alias("member"), F.col("b").alias("cls"))
         stars = placed.select(F.col("a").alias("star"), "part", F.lit(0).alias("member"), F.col("a").alias("cls")).distinct()
         rows = members.unionByName(stars).join(texts, "cls").select("star", "part", "member", "cls", "x")
@@ -316,7 +370,7 @@ def near_duplicates(
     ).filter("groups > 1").select("bucket", F.col("top.root").alias("top"))
     open_buckets = stage.write(placed.join(largest, "bucket"))
     open_texts = job.texts_of(open_buckets.select("cls"))
-    fine = stage.write(open_texts.mapInArrow(releasing(_fine_sketches(width)), "cls long, fine array<long>"))
+    fine = job.fine(open_texts)
     sketches = job.classes.select("cls", "n", "bands", *(f"s{i}" for i in range(LANES))).join(fine, "cls")
     mixed = open_buckets.join(sketches, "cls")
     minor = mixed.filter("root <> top").select(*[F.col(c).alias(f"a_{c}") for c in mixed.columns])
@@ -328,6 +382,7 @@ def near_duplicates(
     # A pair that shares several buckets comes out of the first of them only.
     first = F.expr("array_position(zip_with(a_bands, b_bands, (x, y) -> x = y), true) = a_band + 1")
     near_enough = job.near("a_", "b_") & first & (differing <= most_differing(FINE_LEAST, FINE_HASHES, FINE_BITS))
+    near_enough = near_enough & job.may_share("a_", "b_")
     pairs = minor.join(other, open_ & near_enough).select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b"))
     tested = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = stage.write(pairs.join(tested, ["a", "b"], "left_anti"))
