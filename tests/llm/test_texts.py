@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,6 +221,33 @@ def test_signatures_read_whole_tokens():
     assert secrets.signature("a1" * 128) != secrets.signature("a1" * 128 + "Q/z+" * 300)
 
 
+def test_secrets_are_handed_on_by_portions(spark, monkeypatch):
+    texts = [f"river {i} token=abcdef{i} stone " * 100 for i in range(200)]
+    whole = sum(map(len, texts))
+    model = secrets.train(spark.createDataFrame([], "text string"))
+    tasks = []
+    monkeypatch.setattr(secrets.F, "arrow_udf", lambda kind: lambda task: tasks.append(task) or (lambda column: column))
+    monkeypatch.setattr(secrets, "PORTION_CHARS", whole // 10, raising=False)
+    secrets.secrets(model, F.col("text"))
+    secrets.redacted(model, F.col("text"))
+    spans, cleaned = [list(task(iter([pa.array(texts)]))) for task in tasks]
+    for out in (spans, cleaned):
+        assert len(out) >= 9 and max(map(len, out)) <= len(texts) // 8
+    assert [[(x["start"], x["end"], x["kind"]) for x in row] for a in spans for row in a.to_pylist()] == model.find(texts)
+    assert [x for a in cleaned for x in a.to_pylist()] == [f"river {i} [secret] stone " * 100 for i in range(200)]
+
+
+def test_rows_of_tokens_outgrow_their_room():
+    tokens = [f"tok{i}" for i in range(3000)]
+    weights = np.random.default_rng(2).normal(0, 1, (secrets.DIMENSIONS, 3))
+    model = secrets.Crf(weights, np.zeros((3, 3)), frozenset(tokens))
+    rows = secrets._Rows(model)
+    held = [rows[t] for t in tokens]
+    assert len(set(held)) == rows.size - 1 == 3000 and not rows.vectors[0].any()
+    for t, row in zip(tokens, held):
+        assert np.allclose(rows.vectors[row], model.vector(secrets.features(t)), atol=1e-4)
+
+
 def test_viterbi_in_runs_equals_the_whole(spark):
     rng = np.random.default_rng(1)
     for _ in range(100):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from ._blocks import release
+from ._blocks import release, releasing
 from ._common import table, text_of
 
 SAMPLE_ROWS = 100_000  # documents read for fitting, at most; the choice goes by a hash of the text
@@ -43,6 +43,8 @@ CLEAN_TEXTS = 16  # one in so many texts without a match gives a window
 TOKEN_CHARS = 512  # a longer token of a window is cut for fitting; scoring reads all of it
 DIMENSIONS = 1 << 14
 CACHE = 60_000  # tokens whose row a task remembers
+PORTION_CHARS = 250_000  # of texts scored at once and handed on; a longer text is a portion of its own
+FIT_TOKENS = 8_192  # tokens of the windows whose weights are gathered at once
 OFFSETS = (-2, -1, 0, 1, 2)
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 
@@ -132,7 +134,8 @@ class _Rows(dict):
 
     def __init__(self, crf: Crf):
         super().__init__()
-        self.crf, self.rows = crf, [np.zeros((len(OFFSETS), 3), dtype=np.float32)]  # row 0: between texts
+        self.crf, self.size = crf, 1  # row 0: between texts
+        self.vectors = np.zeros((1024, len(OFFSETS), 3), dtype=np.float32)  # room for twice the rows whenever it is full
         self.known: dict[tuple, int] = {}
 
     def __missing__(self, token: str) -> int:
@@ -141,8 +144,11 @@ class _Rows(dict):
         row = self.known.get(key)
         if row is None:
             names = [f"{i}={x}" for i, x in enumerate(sig)] + ([f"w={word}"] if key[1] else [])
-            row = self.known[key] = len(self.rows)
-            self.rows.append(self.crf.vector(names))
+            row = self.known[key] = self.size
+            if row == len(self.vectors):
+                self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
+            self.vectors[row] = self.crf.vector(names)
+            self.size += 1
         self[token] = row
         return row
 
@@ -150,7 +156,7 @@ class _Rows(dict):
         if len(self.known) > CACHE:
             self.clear()
             self.known.clear()
-            del self.rows[1:]
+            self.size = 1
         elif len(self) > CACHE:
             self.clear()
 
@@ -188,7 +194,7 @@ class Crf:
         ids[real] = np.fromiter(
             map(self._rows.__getitem__, itertools.chain.from_iterable(tokens)), dtype=np.int64, count=int(sizes.sum())
         )
-        near = np.array(self._rows.rows)[ids]
+        near = self._rows.vectors[ids]
         files = np.array(
             [sum(self.weights[_dimension(n)] for n in file_features(x, len(t))) for x, t in zip(texts, tokens)],
             dtype=np.float32,
@@ -298,7 +304,7 @@ def _windows(sample: DataFrame) -> DataFrame:
             )
 
     return sample.mapInArrow(
-        cut, "match boolean, at long, tokens array<string>, states array<int>, file array<string>"
+        releasing(cut), "match boolean, at long, tokens array<string>, states array<int>, file array<string>"
     )
 
 
@@ -383,24 +389,27 @@ def _fit(rows: list, steps: int = 60) -> Crf:
                     if near not in names:
                         names[near] = features(near)
                     dims += [_dimension(f"{o}|{f}") for f in names[near]]
-            lists.append(dims)
+            lists.append(np.array(dims, dtype=np.int32))
             gold[i, k], real[i, k] = r.states[k], True
     most = max(map(len, lists))
     flat = np.full((len(lists), most), DIMENSIONS, dtype=np.int32)
     for k, dims in enumerate(lists):
         flat[k, : len(dims)] = dims
+    del lists
     where = np.nonzero(real)
     sizes = real.sum(axis=1)
     first, second = [np.zeros_like(weights), np.zeros_like(moves)], [np.zeros_like(weights), np.zeros_like(moves)]
-    observed = np.zeros((len(lists), 3))
-    observed[np.arange(len(lists)), gold[where]] = 1.0
+    observed = np.zeros((len(flat), 3))
+    observed[np.arange(len(flat)), gold[where]] = 1.0
     pairs = real[:, 1:]
     seen_moves = np.zeros((3, 3))
     np.add.at(seen_moves, (gold[:, :-1][pairs], gold[:, 1:][pairs]), 1.0)
     index = flat.ravel()
     for step in range(1, steps + 1):
         scores = np.zeros((n, length, 3))
-        scores[where] = weights[flat].sum(axis=1)
+        scores[where] = np.concatenate(
+            [weights[flat[k : k + FIT_TOKENS]].sum(axis=1) for k in range(0, len(flat), FIT_TOKENS)]
+        )
         alpha, beta = np.zeros((n, length, 3)), np.zeros((n, length, 3))
         alpha[:, 0] = scores[:, 0]
         for k in range(1, length):
@@ -464,12 +473,10 @@ def secrets(model: Crf, text: Column) -> Column:
     @F.arrow_udf("array<struct<kind: string, start: int, end: int>>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
-            out = [pa.array([], type=kind)]
-            for part in _portions(batch):
-                spans = [[{"kind": k, "start": a, "end": b} for a, b, k in s] for s in model.find(part)]
-                out.append(pa.array(spans, type=kind))
-            yield pa.concat_arrays(out)
+        release()
+        for part in _portions(batches):
+            spans = [[{"kind": k, "start": a, "end": b} for a, b, k in s] for s in model.find(part)]
+            yield pa.array(spans, type=kind)
             release()
 
     return found(text_of(text))
@@ -480,38 +487,37 @@ def redacted(model: Crf, text: Column, mark: str = "[secret]") -> Column:
 
     @F.arrow_udf("string")
     def cleaned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = [pa.array([], type=pa.string())]
-            for part in _portions(batch):
-                new = []
-                for x, spans in zip(part, model.find(part)):
-                    pieces, at = [], 0
-                    for a, b, _ in spans:
-                        if b <= at:
-                            continue
-                        if a > at or not at:
-                            pieces += [x[at:a], mark]
-                        at = b
-                    new.append("".join([*pieces, x[at:]]) if spans else x)
-                out.append(pa.array(new, type=pa.string()))
-            yield pa.concat_arrays(out)
+        release()
+        for part in _portions(batches):
+            new = []
+            for x, spans in zip(part, model.find(part)):
+                pieces, at = [], 0
+                for a, b, _ in spans:
+                    if b <= at:
+                        continue
+                    if a > at or not at:
+                        pieces += [x[at:a], mark]
+                    at = b
+                new.append("".join([*pieces, x[at:]]) if spans else x)
+            yield pa.array(new, type=pa.string())
             release()
 
     return F.when(text.isNotNull(), cleaned(text_of(text)))
 
 
-def _portions(batch: pa.Array, chars: int = 1_000_000) -> Iterator[list[str]]:
-    """The batch's texts in order, about a million characters at a time."""
-    part, held = [], 0
-    for x in batch:
-        x = x.as_py()
-        part.append(x)
-        held += len(x)
-        if held > chars:
+def _portions(batches: Iterator[pa.Array]) -> Iterator[list[str]]:
+    """The texts in order, a bounded number of characters at a time; what is made of a portion goes on without the rest of its batch."""
+    for batch in batches:
+        part, held = [], 0
+        for x in batch:
+            x = x.as_py()
+            part.append(x)
+            held += len(x)
+            if held > PORTION_CHARS:
+                yield part
+                part, held = [], 0
+        if part:
             yield part
-            part, held = [], 0
-    if part:
-        yield part
 
 
 def op4_secret_crf(spark, sf_dir):
