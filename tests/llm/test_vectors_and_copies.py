@@ -142,6 +142,16 @@ def test_graph_recall_and_no_false_link(spark):
     assert sum(out[i].component_id != roots[i] for i in out) <= 0.01 * len(x)
 
 
+def test_slices_that_lie_near_nothing_in_a_graph(spark, monkeypatch):
+    """Few vectors meet a graph that holds none of them, and nothing near them."""
+    monkeypatch.setattr(hnsw, "SLICE", 2)
+    x = np.eye(30)
+    x[29] = x[3] + 0.1 * x[4]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_vectors(rows, shard=2).collect()}
+    assert out == {i: (1, 3) if i in (3, 29) else (0, i) for i in range(30)}
+
+
 def test_large_group_of_near_copies_is_gathered_in_chunks():
     """All vectors alike but none equal: 256 x 4,000 pairs, which took 64 doubles each, twice."""
     rng = np.random.default_rng(12)

@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from trendloom.plans.staging import Stage
 
-from ._common import table
+from ._common import shuffle_partitions, table
 from ._components import components
 
 SHARD = 65_536  # vectors of a graph, on average: about 50 MB with 64 dimensions
-SLICE = 16_384  # vectors that one task searches in one graph, on average
+SLICE = 16_384  # vectors that one task searches in one graph, on average: more where graphs are many
 PIECE = 4_000_000  # bytes of a stored row of a graph
 DEGREE = 16  # links a new node makes; up to 3 times as many are kept on the lowest layer
 BEAM = 32  # first width of a search
@@ -379,7 +379,9 @@ def _runs(batch: pa.RecordBatch, keys: int) -> Iterator[pa.RecordBatch]:
 
 def _search(stage: Stage, classes: DataFrame, n: int, shard: int, least: float, recall: float) -> DataFrame:
     """(a, b, n): links that connect what is linked (b a class), and how many rows a class links with in a shard (b = -1)."""
-    shards, slices = -(-n // shard), -(-n // SLICE)
+    shards = -(-n // shard)
+    # Every slice takes a copy of every graph, so there are no more slices than keep the tasks busy.
+    slices = min(-(-n // SLICE), -(-4 * shuffle_partitions(classes.sparkSession) // shards))
     own: Column = F.pmod(F.xxhash64("cls"), F.lit(shards))
 
     def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,7 +457,8 @@ def _linked(graph: Graph, state: dict, q_cls: np.ndarray, q: np.ndarray, least:
     itself = np.where(cls[at] == q_cls, at, -1)
     linked = np.zeros(len(q), dtype=np.int64)
     first = np.full(len(cls), -1, dtype=np.int32)  # the query that linked with a node first stands for the node
-    links, same = [], set()
+    none = np.empty(0, dtype=np.int64)
+    links, same = [(none, none)], set()  # a batch may lie near nothing in a graph of other vectors
     for row, node in graph.within(q / q_norm[:, None], least, state["width"], itself):
         other = node != itself[row]
         row, node = row[other], node[other]
