@@ -55,7 +55,7 @@ def test_words_whose_hashes_meet_are_told_apart(spark, monkeypatch):
     def collide(batches):
         for batch in counts(batches):
             table = batch.to_pandas()
-            table.loc[table["word"] == "w2", "hash"] = L._hashes(L.pa.array(["w1"]))[0]
+            table.loc[table["word"] == "w2", "hash"] = L.word_hashes(L.pa.array(["w1"])).view("int64")[0]
             yield L.pa.RecordBatch.from_pandas(table, schema=batch.schema, preserve_index=False)
 
     monkeypatch.setattr(L, "_document_counts", collide)
@@ -70,5 +70,5 @@ def test_latin_texts_are_normalised_as_bytes(spark):
     df = spark.createDataFrame([(str(i), *r) for i, r in enumerate(rows)], "i string, title string, text string")
     text = L.F.concat("title", L.F.lit(" "), "text")
     due = [r[0] for r in df.select(L._words(text)).collect()]
-    got = [[w for w in L._plain(f"{a} {b}".encode()).decode().split(" ") if w] for a, b in rows]
+    got = [[w for w in L.plain(f"{a} {b}".encode()).decode().split(" ") if w] for a, b in rows]
     assert got == due

@@ -7,17 +7,16 @@ the cosine. A handful of reference texts is compared, never post with post.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import PUNCTUATION_CLASS, head, norm_text, np_round, or_empty
+from ..functions.latin import content, is_latin, plain, sliced, word_hashes
+from ..functions.scalars import head, norm_text, np_round, or_empty
 from ..plans.sizing import fits_broadcast, lookup_join
 from ..session import staged
 
@@ -30,11 +29,6 @@ FREQUENT_BYTES = 64
 # Words whose weights the tasks hold, by a hash of 8 bytes: 64 MB in all. Beyond them the most frequent are held.
 KNOWN_WORDS = 4_000_000
 SLICE_BYTES = 8_000_000  # of texts whose words are counted at once, about
-# ASCII bytes as ``norm_text`` has them; a run of spaces splits into empty words, which do not count.
-_PLAIN = bytes(
-    32 if i < 128 and re.match(rf"[\t-\r\x1c-\x20]|{PUNCTUATION_CLASS}", chr(i)) else ord(chr(i).lower()) if i < 128 else i
-    for i in range(256)
-)
 
 
 def _words(text):
@@ -91,9 +85,8 @@ def context_scores(
     if not fits_broadcast(contexts.select("label", F.explode(_words(F.col("text"))).alias("word"))):
         return _joined_scores(df, contexts, text, id_col)
     # texts of Latin characters alone (ISO 8859-1) are normalised as bytes, where they are split
-    latin = (F.octet_length(text) == F.length(text)) | ~text.rlike(r"[^\x00-\xff]")
-    plain = F.when(latin, text).otherwise(norm_text(text))
-    posts = df.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"), plain.alias("_t"))
+    given = F.when(is_latin(text), text).otherwise(norm_text(text))
+    posts = df.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"), given.alias("_t"))
     counted = posts.select("_t").mapInArrow(_document_counts, "word string, hash long, n long")
     seen = staged(counted.groupBy("word").agg(F.max("hash").alias("hash"), F.sum("n").alias("df")))
     n = seen.filter("word is null").agg(F.max("df")).first()[0] or 0
@@ -171,48 +164,15 @@ def _least_frequency(weights: DataFrame, most: int) -> int | None:
     return sizes.filter(F.col("n") <= most).agg(F.min("df")).first()[0]
 
 
-def _sliced(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, pa.Array]]:
-    """Parts of a column of texts of about SLICE_BYTES, each with the place where it begins."""
-    texts = batch.column(column)
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < len(texts):
-        before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
-        yield at, texts.slice(at, to - at)
-        at = to
-
-
-def _plain(data: bytes) -> bytes:
-    """``norm_text`` of Latin characters in UTF-8, as many bytes; what it has normalised stays as it is."""
-    data = data.translate(_PLAIN)
-    if data.isascii():
-        return data
-    out = np.frombuffer(data, dtype=np.uint8).copy()
-    lead = np.flatnonzero(out[:-1] == 0xC3)
-    second = out[lead + 1]
-    out[lead + 1] = np.where((second <= 0x9E) & (second != 0x97), second + 0x20, second)
-    lead = np.flatnonzero(out[:-1] == 0xC2)
-    blank = lead[np.isin(out[lead + 1], (0x85, 0xA0))]
-    out[blank] = out[blank + 1] = 0x20
-    return out.tobytes()
-
-
-def _hashes(words: pa.Array) -> np.ndarray:
-    return pd.util.hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False).view(np.int64)
-
-
 def _counted(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The distinct words in the order of their hashes, these, and a text, a word and its number there, row by row."""
-    texts = texts.cast(pa.string())
-    ends = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
-    data = _plain(bytes(memoryview(texts.buffers()[2] or b"")[ends[0] : ends[-1]]))
-    plain = pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends - ends[0]), pa.py_buffer(data))
-    split = pc.split_pattern(plain, " ")
-    post = np.repeat(np.arange(len(plain), dtype=np.int64), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    ends, data = content(texts)
+    # a run of spaces splits into empty words, which do not count
+    split = pc.split_pattern(pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(plain(data))), " ")
+    post = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(split).to_numpy(zero_copy_only=False))
     coded = split.flatten().dictionary_encode()
     words = coded.dictionary.cast(pa.string())
-    hashes = _hashes(words)
+    hashes = word_hashes(words).view(np.int64)
     order = np.argsort(hashes, kind="stable")
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
@@ -230,7 +190,7 @@ def _counted(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndar
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many texts a word occurs, with its hash; the texts themselves count under no word."""
     for batch in batches:
-        for _, texts in _sliced(batch, 0):
+        for _, texts in sliced(batch.column(0), SLICE_BYTES):
             words, hashes, _, code, _ = _counted(texts)
             n = np.bincount(code, minlength=len(words))
             used = np.flatnonzero(n)
@@ -255,7 +215,7 @@ def _post_sums(
     ref_words, n_labels = pa.array(ref_words, pa.string()), max(1, len(labels))
     label_names = pa.array(labels, pa.string())
     for batch in batches:
-        for begin, texts in _sliced(batch, 2):
+        for begin, texts in sliced(batch.column(2), SLICE_BYTES):
             # sorted by hash, so that sums do not depend on what else a batch holds
             words, hashes, post, code, tf = _counted(texts)
             weight, is_known = np.zeros(len(words)), np.zeros(len(words), dtype=bool)
