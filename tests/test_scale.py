@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from checks import views as V
@@ -28,6 +29,32 @@ def test_visits_are_sent_in_bounded_slices(spark, monkeypatch):
     assert [len(p) for p in knn._sliced(iter([frame, frame.iloc[:0]]), 3)] == [3, 3, 1]
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_points_come_in_portions_and_vectors_stay(spark, monkeypatch, metric):
+    draw = np.random.default_rng(6).normal(size=(260, 6)).round(1)
+    draw[100:180] = draw[7] + draw[100:180] / 50  # a cell larger than a portion
+    rows = [(f"v{i}", [float(x) for x in v]) for i, v in enumerate(draw)]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>")
+    whole = {tuple(r) for r in knn.knn_graph(df, 5, metric=metric, block=4096).collect()}
+    portions, sent = [], []
+    cut, chunk = knn._portions, knn._chunk
+    monkeypatch.setattr(knn, "_portions", lambda *a: portions.extend(cut(*a)) or cut(*a))
+    monkeypatch.setattr(knn, "_chunk", lambda points: sent.append(points.count()) or chunk(points))
+    monkeypatch.setattr(knn, "CHUNK_BYTES", 1)
+    got = knn.knn_graph(df, 5, metric=metric, block=30)
+    assert {tuple(r) for r in got.collect()} == whole and len(whole) == 1300
+    assert len(portions) > 5 and any(of > 1 for *_, of in portions) and sum(sent) == len({tuple(v) for _, v in rows})
+    # no second cogroup: the vectors are not sent to the cells they visit
+    assert "CoGroup" not in _plan(got)
+
+
+def test_portions_hold_all_cells_once():
+    assert knn._portions(np.array([3, 0, 4, 25, 1, 10, 0]), 10) == [
+        (0, 2, 0, 1), (3, 3, 0, 3), (3, 3, 1, 3), (3, 3, 2, 3), (4, 4, 0, 1), (5, 6, 0, 1),
+    ]
+    assert knn._portions(np.array([0, 0]), 10) == []
+
+
 def test_norm_text_is_one_pass_with_the_old_result(spark):
     texts = ["", " ", "A-b", "a - b", "  x\t\ty ", "a b", "a. .b", "...", "L'Oréal & co", "a  b", "\n", "x;y", "a　", None]
     texts += [t for c in WHITESPACE + "\x1b\x21\x84\u167f\u200b\u3001" for t in (f"a{c}b", f"{c}a.{c}{c}", f"a {c}-b{c} ")]
