@@ -47,13 +47,13 @@ def stream_mentions(
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()  # read three times: measured, joined with the store, written
+        # Read three times: measured and joined with the store by its ids alone, then written. Rows are not kept
+        # meanwhile, as their texts would be copied to disk.
         if exists(spark, store):
             fresh = ingest_new(batch, spark.read.schema(MENTIONS).parquet(store), order)
         else:
             fresh = dedup_mentions(batch, order)
         append_mentions(fresh, store)
-        batch.unpersist()
 
     return source.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
 
